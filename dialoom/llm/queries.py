@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import stratify, tokencount
+from . import bestfit, stratify, tokencount
 
 QUERIES = {
+    "op3_bestfit_packing": bestfit.op3_bestfit_packing,
     "op5_stratified_shards": stratify.op5_stratified_shards,
     "op6_token_counts": tokencount.op6_token_counts,
 }
