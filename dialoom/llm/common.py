@@ -5,7 +5,9 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ BATCH_ROWS = 500
 BATCH_BYTES = 32 * 1024 * 1024
 
 _local_dir: str | None = None
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -68,6 +71,7 @@ def map_arrow(
     schema: T.StructType,
 ) -> DataFrame:
     """``mapInArrow`` of a batch-to-batch function; empty batches are passed over."""
+    ship(df.sparkSession)
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,6 +94,20 @@ _TYPES = {
 }
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, wherever the driver imported it from."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="dialoom-ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def struct_of(ddl: str) -> T.StructType:
     """``"a long, b array<int>"`` as a schema; needs no session."""
     fields = []

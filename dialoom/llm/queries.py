@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bestfit, stratify, tokencount
+from . import bestfit, minhash, stratify, tokencount
 
 QUERIES = {
+    "op10_minhash_near_duplicates": minhash.op10_minhash_near_duplicates,
     "op3_bestfit_packing": bestfit.op3_bestfit_packing,
     "op5_stratified_shards": stratify.op5_stratified_shards,
     "op6_token_counts": tokencount.op6_token_counts,
