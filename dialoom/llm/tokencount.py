@@ -31,8 +31,8 @@ from .common import arrow_schema, map_arrow, struct_of, table, texts
 SAFE_BELOW = "\u0558"
 _UNSAFE = re.compile(f"[{SAFE_BELOW}-\U0010ffff]")
 _CONTRACTION = re.compile(r"'(?:s|t|re|ve|m|ll|d)\Z")
-#: Entries of a worker's table of pre-token counts; it is emptied when full.
-CACHE_ENTRIES = 400_000
+#: Entries of each table that a worker keeps over texts (some 100 bytes an entry); a full one is emptied.
+CACHE_ENTRIES = 800_000
 
 
 class PrefixCounter:
@@ -50,6 +50,7 @@ class PrefixCounter:
         self._made: dict[bytes, tuple[bytes, bytes]] = {}
         self._fits: dict[tuple[bytes, bytes], bool] = {}
         self._totals: dict[str, int] = {}
+        self._prefix: dict[bytes, tuple[int, bytes]] = {}
 
     def _merge(self, piece: bytes, below: int = 1 << 60) -> list[bytes]:
         """BPE by its definition, the lowest-ranked neighbouring pair first, with the merges that rank below."""
@@ -100,19 +101,29 @@ class PrefixCounter:
 
     def piece_counts(self, piece: bytes) -> list[int]:
         """``counts[i]``: tokens of the first ``i`` bytes of one pre-token, for i from 0."""
-        n, ranks, longest = len(piece), self.ranks, self.longest
-        counts, last = [0] * (n + 1), [b""] * (n + 1)
-        fits, compatible = self._fits, self._compatible
-        for end in range(1, n + 1):
-            for start in range(max(0, end - longest), end):
+        self._reach(piece)
+        return [0, *(self._prefix[piece[:i]][0] for i in range(1, len(piece) + 1))]
+
+    def _reach(self, piece: bytes) -> int:
+        """Fill the table of prefixes up to the whole piece; what other pre-tokens began with is there already."""
+        table, ranks, fits, compatible = self._prefix, self.ranks, self._fits, self._compatible
+        if len(table) >= CACHE_ENTRIES:
+            table.clear()
+        n = done = len(piece)
+        while done and piece[:done] not in table:
+            done -= 1
+        for end in range(done + 1, n + 1):
+            for start in range(max(0, end - self.longest), end):
                 token = piece[start:end]
                 if token in ranks:
-                    before = last[start]
-                    if not start or (k if (k := fits.get((before, token))) is not None else compatible(before, token)):
-                        counts[end] = counts[start] + 1
-                        last[end] = token
+                    if not start:
+                        table[token] = (1, token)
                         break
-        return counts
+                    count, before = table[piece[:start]]
+                    if k if (k := fits.get((before, token))) is not None else compatible(before, token):
+                        table[piece[:end]] = (count + 1, token)
+                        break
+        return table[piece][0]
 
     def pieces(self, text: str) -> list[str]:
         """Pre-tokens of a text; special strings are pieces of their own."""
@@ -127,7 +138,7 @@ class PrefixCounter:
         return self.find(text)
 
     def _total(self, piece: str) -> int:
-        n = 1 if piece == self.special else self.piece_counts(piece.encode())[-1]
+        n = 1 if piece == self.special else self._reach(piece.encode())
         if len(self._totals) >= CACHE_ENTRIES:
             self._totals.clear()
         self._totals[piece] = n
