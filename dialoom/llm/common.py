@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,7 +53,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     schema = df.schema
     del df
     release(spark)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(stored: DataFrame) -> None:
+    """Delete a materialised table that no later step reads."""
+    spark = stored.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(stored._stored_at)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,6 +118,39 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def map_groups(df: DataFrame, keys: list[str], fn: Callable[[pa.Table], pa.RecordBatch | None], schema: T.StructType, rows: int = 8192) -> DataFrame:
+    """Deal rows by ``keys`` and give ``fn`` tables of whole groups, sorted by key, many groups at once.
+
+    A table has about ``rows`` rows, or one larger group; callers bound their groups.
+    """
+    ship(df.sparkSession)
+    bounded_batches(df.sparkSession)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size, aim = 0, rows
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < aim:
+                continue
+            whole = pa.Table.from_batches(held)
+            last = whole.slice(size - 1)
+            same = None
+            for key in keys:
+                part = pc.equal(whole.column(key), last.column(key)[0])
+                same = part if same is None else pc.and_(same, part)
+            tail = pc.sum(same).as_py() or 1  # sorted: the rows of the last key are the last rows
+            held, rest = whole.slice(size - tail).combine_chunks().to_batches(), whole.slice(0, size - tail)
+            size, aim = tail, tail + rows
+            if rest.num_rows and (out := fn(rest)) is not None and out.num_rows:
+                yield out
+        if size and (out := fn(pa.Table.from_batches(held))) is not None and out.num_rows:
+            yield out
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
 def struct_of(ddl: str) -> T.StructType:
     """``"a long, b array<int>"`` as a schema; needs no session."""
     fields = []

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bestfit, minhash, stratify, tokencount
+from . import bestfit, minhash, stratify, suffixdedup, tokencount
 
 QUERIES = {
     "op10_minhash_near_duplicates": minhash.op10_minhash_near_duplicates,
     "op3_bestfit_packing": bestfit.op3_bestfit_packing,
     "op5_stratified_shards": stratify.op5_stratified_shards,
+    "op7_suffix_array_dedup": suffixdedup.op7_suffix_array_dedup,
     "op6_token_counts": tokencount.op6_token_counts,
 }
 
