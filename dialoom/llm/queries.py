@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bestfit, minhash, stratify, suffixdedup, tokencount
+from . import bestfit, minhash, stratify, suffixdedup, tokencount, toxicity
 
 QUERIES = {
     "op10_minhash_near_duplicates": minhash.op10_minhash_near_duplicates,
+    "op2_toxicity_lexicon": toxicity.op2_toxicity_lexicon,
     "op3_bestfit_packing": bestfit.op3_bestfit_packing,
     "op5_stratified_shards": stratify.op5_stratified_shards,
     "op7_suffix_array_dedup": suffixdedup.op7_suffix_array_dedup,
