@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from . import bestfit, interleave, langid, maxscore, minhash, mixing, stratify, suffixdedup, tokencount, toxicity
 
 QUERIES = {
@@ -13,6 +15,7 @@ QUERIES = {
     "op5_stratified_shards": stratify.op5_stratified_shards,
     "op7_suffix_array_dedup": suffixdedup.op7_suffix_array_dedup,
     "op8_soft_mixing": mixing.op8_soft_mixing,
+    "pipeline": corpus_pipeline.run,
     "op9_language_id": langid.op9_language_id,
     "op6_token_counts": tokencount.op6_token_counts,
 }

@@ -225,7 +225,7 @@ def score_documents(docs: DataFrame, lexicon: Lexicon, carry: tuple[str, ...] =
     Null and empty texts get the score of a text without a match. Repeated rows are scored each; an
     empty table gives none.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carry)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(c for c in carry if c != "text"))
     schema = type(SCORES)([*SCORES.fields, *(rows.schema[c] for c in carry)])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
