@@ -28,6 +28,9 @@ SHINGLE_WORDS = 5
 BANDS, ROWS = 26, 5
 #: Classes of a family in one block; a task compares two blocks.
 BLOCK = 256
+#: Set items of a family in one block, on average, and in one step of a task.
+BLOCK_ITEMS = 1 << 20
+PART_ITEMS = 1 << 19
 #: Signatures that agree in less than the threshold minus this share cannot belong to a link:
 #: five standard deviations of the estimate at 0.85 over 130 minima.
 SLACK = 0.16
@@ -137,27 +140,34 @@ def block_links(ids: list[int], signatures: np.ndarray, sets: list[np.ndarray],
     if not len(left):
         return []
     used = np.unique(np.concatenate([left, right]))
-    lengths = np.array([len(sets[k]) for k in range(len(ids))])
-    items = np.concatenate([sets[k] for k in used])
-    owner = np.repeat(used, lengths[used])
-    _, column, uses = np.unique(items, return_inverse=True, return_counts=True)
-    keep = uses[column] > 1  # an item of one member is in no intersection
-    renumber = np.cumsum(uses > 1) - 1
-    owner, column = owner[keep], renumber[column[keep]]
-    order = np.argsort(column, kind="stable")
-    owner, column = owner[order], column[order]
+    lengths = np.array([len(x) for x in sets])
     row_l, row_r = np.full(len(ids), -1), np.full(len(ids), -1)
     row_l[left], row_r[right] = np.arange(len(left)), np.arange(len(right))
     shared = np.zeros((len(left), len(right)), np.float32)
-    for first in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
-        a, b = np.searchsorted(column, (first, first + 4096))
-        o, c = owner[a:b], column[a:b] - first
-        x, y = np.zeros((len(left), 4096), np.float32), np.zeros((len(right), 4096), np.float32)
-        at = row_l[o] >= 0
-        x[row_l[o[at]], c[at]] = 1
-        at = row_r[o] >= 0
-        y[row_r[o[at]], c[at]] = 1
-        shared += x @ y.T
+    # sets are sorted and hashes uniform: equal ranges of the hash space hold about equal parts of all sets
+    parts = 1 + int(lengths[used].sum()) // PART_ITEMS
+    bounds = [np.uint64(k * 2**64 // parts) for k in range(1, parts)]
+    cuts = {k: np.r_[0, np.searchsorted(sets[k], np.array(bounds, np.uint64)), lengths[k]] for k in used}
+    for p in range(parts):
+        slices = [sets[k][cuts[k][p] : cuts[k][p + 1]] for k in used]
+        owner = np.repeat(used, [len(x) for x in slices])
+        items = np.concatenate(slices)
+        order = np.argsort(items, kind="stable")
+        items, owner = items[order], owner[order]
+        new = np.r_[True, items[1:] != items[:-1]] if len(items) else np.empty(0, bool)
+        uses = np.diff(np.r_[np.flatnonzero(new), len(items)])
+        keep = np.repeat(uses > 1, uses)  # an item of one member is in no intersection
+        column = np.repeat(np.cumsum(uses > 1) - 1, uses)[keep]
+        owner = owner[keep]
+        for first in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            at = slice(*np.searchsorted(column, (first, first + 4096)))
+            o, c = owner[at], column[at] - first
+            x, y = np.zeros((len(left), 4096), np.float32), np.zeros((len(right), 4096), np.float32)
+            on = row_l[o] >= 0
+            x[row_l[o[on]], c[on]] = 1
+            on = row_r[o] >= 0
+            y[row_r[o[on]], c[on]] = 1
+            shared += x @ y.T
     shared = np.rint(shared).astype(np.int64)
     union = lengths[left][:, None] + lengths[right] - shared
     links = np.argwhere(able & (100 * shared >= percent * union))
@@ -202,7 +212,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     wanted = families.select("cid", F.col("_fp").alias("fp"), "family")
     members = rows.join(wanted, F.col("doc_id") == F.col("cid")).select("cid", "family", "fp", "text")
     members = materialise(map_arrow(members, _member, MEMBER), "minhash-members")
-    sizes = members.groupBy("family").agg(F.count("*").alias("_n")).select(F.col("family").alias("_family"), F.expr(f"cast(ceil(_n / {BLOCK}) as int)").alias("blocks"))
+    sizes = members.groupBy("family").agg(F.count("*").alias("_n"), F.sum(F.octet_length("items")).alias("_b"))
+    sizes = sizes.select(F.col("family").alias("_family"), F.expr(f"cast(ceil(greatest(_n / {BLOCK}, _b / {8 * BLOCK_ITEMS})) as int)").alias("blocks"))
     blocks = members.join(sizes, F.col("family") == F.col("_family")).withColumn("own", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     blocks = blocks.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     blocks = blocks.select("family", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "cid", "signature", "items")
