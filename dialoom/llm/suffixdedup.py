@@ -146,54 +146,96 @@ def _context_rows(length: int, gram: int):
     return run
 
 
-def _shared(order: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
-    """Matrix of common prefixes of all members of one group from its sorted order."""
-    m = len(order)
-    out = np.zeros((m, m), np.int16)
-    for k in range(m - 1):
-        row = np.minimum.accumulate(prefixes[k + 1 : m])
-        out[order[k], order[k + 1 :]] = row
-        out[order[k + 1 :], order[k]] = row
-    return out
-
-
-def match_contexts(group: np.ndarray, counts: np.ndarray, lefts: list[bytes], rights: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
+class _Prefixes:
+    """Common prefixes of any two members of one group, from a sorted order: range minima of neighbours."""
+
+    def __init__(self, order: np.ndarray, common: np.ndarray):
+        self.order, self.place = order, np.empty(len(order), np.int64)
+        self.place[order] = np.arange(len(order))
+        self.common = common.astype(np.int16)
+        self.levels = [self.common]
+        while 2 << (len(self.levels) - 1) <= len(order):
+            last, step = self.levels[-1], 1 << (len(self.levels) - 1)
+            self.levels.append(np.minimum(last[:-step], last[step:]))
+
+    def of(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        a, b = self.place[i], self.place[j]
+        lo, hi = np.minimum(a, b) + 1, np.maximum(a, b)  # minima over common[lo..hi]
+        level = np.frexp((hi - lo + 1).astype(np.float64))[1] - 1
+        out = np.empty(len(a), np.int16)
+        for k in np.unique(level):
+            at = level == k
+            x = self.levels[k]
+            out[at] = np.minimum(x[lo[at]], x[hi[at] - (1 << int(k)) + 1])
+        return out
+
+    def most(self) -> np.ndarray:
+        """Each member's longest common prefix with any other of its group (-1 if it is alone)."""
+        after = np.r_[self.common[1:], np.int16(-1)] if len(self.common) else self.common
+        before = self.common.copy()
+        before[:1] = -1
+        out = np.empty(len(self.order), np.int16)
+        out[self.order] = np.maximum(before, after)
+        return out
+
+
+#: Neighbours on either side, in both orders, that are tried before a member is compared with its whole group.
+NEIGHBOURS = 3
+
+
+def match_contexts(group: np.ndarray, counts: np.ndarray, lefts: list[bytes], rights: list[bytes], length: int, same: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """For each context the most bytes left and right of its anchor that windows shared with others cover.
 
-    ``group`` is sorted; contexts with a count over one need no answer and get -1, as do those that
-    share no window.
+    ``group`` is sorted; the rights of a group agree in their first ``same`` bytes. Contexts with a count
+    over one need no answer and get -1, as do those that share no window. A member is done when what it
+    found meets the bounds that its neighbours in the two orders set; else its whole group is looked at.
     """
     n = len(group)
-    best_l, best_r = np.full(n, -1), np.full(n, -1)
-    order_r, common_r = deep_shallow_sort(rights, group)
-    order_l, common_l = deep_shallow_sort([x[::-1] for x in lefts], group)
-    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    ends = np.r_[starts[1:], n]
-    two = starts[ends - starts == 2]
-    if len(two):
-        l, r = common_l[two + 1], common_r[two + 1]
+    order, common = deep_shallow_sort([x[same:] for x in rights], group)
+    right = _Prefixes(order, np.where(common >= 0, common + same, -1))
+    left = _Prefixes(*deep_shallow_sort([x[::-1] for x in lefts], group))
+    best_l, best_r = np.full(n, -1, np.int64), np.full(n, -1, np.int64)
+    most_l, most_r = left.most(), right.most()
+    open_ = np.flatnonzero((counts <= 1) & (most_l >= 0) & (most_l.astype(np.int64) + most_r >= length))
+
+    def meet(i: np.ndarray, j: np.ndarray) -> None:
+        l, r = left.of(i, j).astype(np.int64), right.of(i, j).astype(np.int64)
         hit = l + r >= length
-        for side in (0, 1):
-            best_l[two[hit] + side], best_r[two[hit] + side] = l[hit], r[hit]
-    for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-        if b - a > 2:
-            l = _shared(order_l[a:b] - a, common_l[a:b])
-            r = _shared(order_r[a:b] - a, common_r[a:b])
+        i, l, r = i[hit], l[hit], r[hit]
+        best_l[i] = np.maximum(best_l[i], l)
+        best_r[i] = np.maximum(best_r[i], r)
+
+    for step in range(1, NEIGHBOURS + 1):
+        for side in (left, right):
+            for sign in (step, -step):
+                at = side.place[open_] + sign
+                ok = (at >= 0) & (at < n)
+                i, j = open_[ok], side.order[at[ok]]
+                ok = group[i] == group[j]
+                meet(i[ok], j[ok])
+        open_ = open_[(best_l[open_] < most_l[open_]) | (best_r[open_] < most_r[open_])]
+        if not len(open_):
+            return best_l, best_r
+    starts = np.searchsorted(group, group[open_], side="left")
+    ends = np.searchsorted(group, group[open_], side="right")
+    for i, a, b in zip(open_.tolist(), starts.tolist(), ends.tolist(), strict=True):
+        if b - a > NEIGHBOURS + 1:  # else all of the group were neighbours
+            j = np.r_[a:i, i + 1 : b]
+            l = left.of(np.full(len(j), i), j).astype(np.int64)
+            r = right.of(np.full(len(j), i), j).astype(np.int64)
             hit = l + r >= length
-            np.fill_diagonal(hit, False)
-            best_l[a:b] = np.where(hit, l, -1).max(axis=1)
-            best_r[a:b] = np.where(hit, r, -1).max(axis=1)
-    best_l[counts > 1] = best_r[counts > 1] = -1
+            if hit.any():
+                best_l[i], best_r[i] = l[hit].max(), r[hit].max()
     return best_l, best_r
 
 
-def _found_rows(length: int):
+def _found_rows(length: int, gram: int):
     def run(part: pa.Table) -> pa.RecordBatch | None:
         keys = np.stack([part.column(k).to_numpy().astype(np.int64) for k in ("h", "lo", "hi")])
         change = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
         group = np.r_[0, np.cumsum(change)]
         counts = part.column("n").to_numpy()
-        l, r = match_contexts(group, counts, part.column("left").to_pylist(), part.column("right").to_pylist(), length)
+        l, r = match_contexts(group, counts, part.column("left").to_pylist(), part.column("right").to_pylist(), length, gram)
         at = np.flatnonzero(l >= 0)
         if not len(at):
             return None
@@ -224,7 +266,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         raise ValueError("the gram must fit into the length")
     found = materialise(map_arrow(docs, _anchor_rows(length, gram), ANCHOR), "suffix-anchors")
     again = found.groupBy("h").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("h").alias("_h"))
-    kept = materialise(found.join(again, F.col("h") == F.col("_h")).drop("_h"), "suffix-repeated")
+    # written before the join, which adaptive execution can then split where a gram is very common
+    again = materialise(again, "suffix-again")
+    kept = materialise(found.join(again.hint("merge"), F.col("h") == F.col("_h")).drop("_h"), "suffix-repeated")
     discard(found)
     contexts = kept.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "t", "pos")).alias("one"))
     contexts = materialise(contexts, "suffix-contexts")
@@ -235,16 +279,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         F.collect_list(F.struct(F.col("one.pos").alias("pos"), "h", "c", "n", "blocks")).alias("wanted")
     )  # a document's own anchors: as many as its bytes allow
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t"))
-    rows = docs.join(wanted, same).select("text", "wanted")
+    # texts are always dealt by id: broadcasts would do for small tables only
+    rows = docs.join(wanted.hint("merge"), same).select("text", "wanted")
     cut = map_arrow(rows, _context_rows(length, gram), CONTEXT)
     cut = cut.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     cut = cut.select("h", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "c", "n", "left", "right")
     # repeated rows of one document send the same context more than once
-    matched = map_groups(cut, ["h", "lo", "hi"], _found_rows(length), FOUND)
-    matched = materialise(matched.groupBy("h", "c").agg(F.max("l").alias("l"), F.max("r").alias("r")), "suffix-matched")
+    matched = map_groups(cut, ["h", "lo", "hi"], _found_rows(length, gram), FOUND)
+    matched = matched.groupBy("h", "c").agg(F.max("l").alias("l"), F.max("r").alias("r"))
     whole = contexts.where("n > 1").select("h", "c", F.lit(length - gram).alias("l"), F.lit(length).alias("r"))
-    cover = whole.unionByName(matched).select(F.col("h").alias("_h"), F.col("c").alias("_c"), "l", "r")
-    spans = kept.join(cover, (F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")))
+    cover = materialise(whole.unionByName(matched).select(F.col("h").alias("_h"), F.col("c").alias("_c"), "l", "r"), "suffix-cover")
+    spans = kept.join(cover.hint("merge"), (F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")))
     spans = spans.select("doc_id", "t", F.greatest(F.lit(0), F.col("pos") - F.col("l")).alias("a"), (F.col("pos") + F.col("r")).alias("b"))
     spans = materialise(spans.groupBy("doc_id", "t").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "suffix-spans")
     discard(kept)
@@ -276,7 +321,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with
     rows = rows.withColumn("t", F.xxhash64("text"))
     spans = repeated_spans(rows.select("doc_id", "text", "t"), length, gram)
     spans = spans.select(F.col("doc_id").alias("_doc"), F.col("t").alias("_t"), "spans")
-    joined = rows.join(spans, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t")), "left")
+    joined = rows.join(spans.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t")), "left")
     base = DEDUPED.fields if with_text else DEDUPED.fields[:5]
     schema = type(DEDUPED)([*base, *(f for f in rows.schema if f.name in carry)])
 

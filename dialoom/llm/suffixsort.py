@@ -131,7 +131,12 @@ def deep_shallow_sort(strings: list[bytes], group: np.ndarray | None = None) ->
     starts = np.flatnonzero(np.r_[True, label[order][1:] != label[order][:-1]])
     out, prefixes = order.copy(), np.zeros(n, np.int64)
     for a, b in zip(starts, [*starts[1:], n], strict=True):
-        if b - a > 1:
+        if b - a == 2:  # a trie of two strings is their comparison
+            x, y = (strings[k] for k in order[a:b])
+            prefixes[a + 1] = common_prefix(x, y)
+            if y < x:
+                out[a], out[a + 1] = order[a + 1], order[a]
+        elif b - a > 1:
             members = order[a:b]
             trie = BlindTrie([strings[k] for k in members])
             for k in range(b - a):
