@@ -135,11 +135,14 @@ def ellipsis_rule(name: str, value: str) -> Rule:
 
 
 def repeats(t: Column) -> Column:
-    """A word of two letters or more said twice in a row, or a chunk of three characters or more doubled."""
+    """A word of two letters or more said twice in a row, or a chunk of three characters or more doubled.
+
+    Texts are normalised, so no chunk can be blank; evaluated last, being quadratic in a turn's length.
+    """
     space = WHITE_SPACE
     black = space.replace("[", "[^", 1)
     word = rf"(?<!{black})({black}{{2,}}){space}+\1(?!{black})"
-    return t.rlike(word) | t.rlike(r"(?s)(\S.{2,}|.\S.+|.{2,}\S.*)\1")
+    return t.rlike(word) | t.rlike(r"(?s)(?!\s{3})(.{3,})\1")
 
 
 def repeat_rule(name: str, value: str) -> Rule:

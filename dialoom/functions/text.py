@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,8 +69,6 @@ def nfc(df: DataFrame, apply: Callable[[Column], Column], probe: Column) -> Data
     generated code. The branch is a union of two filtered frames, because a UDF inside a conditional
     would run on every row.
     """
-    import pandas as pd
-
     @F.pandas_udf("string")
     def compose(texts: pd.Series) -> pd.Series:
         return texts.str.normalize("NFC")

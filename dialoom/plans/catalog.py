@@ -1,6 +1,635 @@
-"""All queries of the engine by name, with the DuckDB statement that gives the same rows."""
+"""All queries of the engine by name, with the DuckDB statement that gives the same rows.
+
+The driver tables stand in for the engine's own: ``conversations`` are sessions, ``documents`` are
+utterances. They hold no Hangul, so rules for Korean also run over inline literals.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from ..functions import rules, text
+from ..operators import export, gate, ledger, schema, stages
+from ..sources import extractors, teachers
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+
+
+def query(name: str, sql: str | None = None):
+    def keep(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLE_SQL[name] = sql
+        return fn
+
+    return keep
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# -- sessions from the conversations table -----------------------------------------
+
+
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One session per conversation, system turns left out, turns in order."""
+    rows = _table(spark, sf_dir, "conversations").where("role <> 'system'")
+    turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    packed = rows.groupBy("conv_id").agg(F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
+    return packed.select(
+        F.col("conv_id").cast("string").alias("id"),
+        F.lit("conversations").alias("source"),
+        F.lit("").alias("scenario"),
+        F.lit("synthetic").alias("license"),
+        F.when(F.col("conv_id") % 3 == 0, F.array(F.lit("m1"), F.lit("m2"))).otherwise(F.array(F.lit("m1"))).alias("generator"),
+        "turns",
+        F.col("conv_id").alias("_pos"),
+    )
+
+
+def utterances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("id"), "text", "source", F.col("lang").alias("language"), F.lit("cc0").alias("license"), F.lit(None).cast("string").alias("url"), F.col("doc_id").alias("_pos")
+    )
+
+
+CONSTRAINTS = {"발화 길이": "4~1500글자", "문자": "영문", "마크다운": "금지", "이모지": "금지", "역할 표기": "금지", "AI 자칭": "금지", "말줄임표": "최대 1개"}
+
+#: Shared parts of the statements. White space is what Python's split takes as such.
+_WS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
+def _collapse(x: str) -> str:
+    return rf"trim(regexp_replace(replace(nfc_normalize({x}), chr(8203), ''), '{_WS}+', ' ', 'g'))"
+
+
+def _fold(x: str) -> str:
+    return f"replace(lower({x}), 'ß', 'ss')"
+
+
+_SESSIONS = f"""
+s0 AS (
+  SELECT conv_id, list({{'role': role, 'text': {_collapse("text")}}} ORDER BY turn) AS turns
+  FROM conversations WHERE role <> 'system' GROUP BY conv_id
+),
+s1 AS (
+  SELECT conv_id, turns,
+    CASE WHEN len(turns) < 2 THEN 'schema:too_short' WHEN len(turns) % 2 = 1 THEN 'schema:even'
+      ELSE 'schema:' || list_filter(list_transform(turns, lambda t, i: CASE WHEN t.role <> (CASE WHEN i % 2 = 1 THEN 'user' ELSE 'assistant' END) THEN 'role' WHEN t.text = '' THEN 'text' END), lambda x: x IS NOT NULL)[1] END AS err,
+    sha256({_fold("array_to_string(list_transform(turns, lambda t: t.role || ':' || t.text), chr(10))")}) AS fp,
+    list_transform(list_filter(turns, lambda t: t.role = 'assistant'), lambda t: t.text) AS said
+  FROM s0
+),
+s2 AS (
+  SELECT *, err IS NULL AND row_number() OVER (PARTITION BY err IS NULL, fp ORDER BY conv_id) > 1 AS later FROM s1
+),
+s3 AS (
+  SELECT *, list_filter([
+    CASE WHEN len(turns) > 16 THEN 'too_many_turns' END,
+    CASE WHEN turns[1].role <> 'user' THEN 'does_not_start_with_user' END,
+    CASE WHEN turns[-1].role <> 'assistant' THEN 'does_not_end_with_assistant' END,
+    CASE WHEN len(list_filter(said, lambda t: length(t) < 4)) > 0 THEN 'assistant_too_short' END,
+    CASE WHEN len(list_filter(said, lambda t: length(t) > 1500)) > 0 THEN 'assistant_too_long' END,
+    CASE WHEN len(list_filter(said, lambda t: regexp_matches(t, '[가-힣\\x{{1100}}-\\x{{11ff}}\\x{{3130}}-\\x{{318f}}]'))) > 0 THEN 'hangul_characters' END,
+    CASE WHEN len(list_filter(said, lambda t: regexp_matches(t, '[\\x{{4e00}}-\\x{{9fff}}\\x{{3400}}-\\x{{4dbf}}]'))) > 0 THEN 'cjk_characters' END,
+    CASE WHEN len(list_filter(said, lambda t: regexp_matches(t, '[\\x{{3040}}-\\x{{30ff}}]'))) > 0 THEN 'kana_characters' END,
+    CASE WHEN len(list_filter(said, lambda t: regexp_matches(t, '(?m)(^#{{1,6}}\\s|\\*\\*|^\\s*[-*+]\\s|^\\s*\\d+\\.\\s|```|\\[.+\\]\\(.+\\))'))) > 0 THEN 'markdown' END,
+    CASE WHEN len(list_filter(said, lambda t: regexp_matches(t, '[\\p{{So}}\\p{{Sk}}\\x{{1F000}}-\\x{{1FAFF}}\\x{{2600}}-\\x{{27BF}}]'))) > 0 THEN 'emoji' END,
+    CASE WHEN len(list_filter(said, lambda t: regexp_matches(t, '(?i)(^|\\s)(U|A|P|사용자|유저|user|assistant|pet)\\s*[:：]'))) > 0 THEN 'role_label_in_text' END,
+    CASE WHEN len(list_filter(said, lambda t: regexp_matches(t, 'AI|A\\.I\\.|인공지능|언어모델|언어 모델|챗봇|챗 봇|프로그램|컴퓨터|모델이야|시스템 프롬프트|학습 데이터|토큰'))) > 0 THEN 'claims_to_be_ai' END,
+    CASE WHEN len(list_filter(said, lambda t: length(t) - length(replace(t, '…', '')) > 1)) > 0 THEN 'multiple_ellipsis' END
+  ], lambda x: x IS NOT NULL) AS why FROM s2
+),
+led AS (
+  SELECT *, CASE WHEN err IS NOT NULL THEN 'rejected_by_schema' WHEN later THEN 'duplicate' WHEN len(why) > 0 THEN 'rejected_by_gate' ELSE 'kept' END AS outcome,
+    CASE WHEN err IS NOT NULL THEN [err] WHEN later THEN ['duplicate'] ELSE why END AS reasons FROM s3
+)
+"""
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.ledger(sessions(spark, sf_dir), schema.SESSIONS, gate.gate(F.col("turns"), CONSTRAINTS))
+
+
+@query("session_assemble", f"WITH {_SESSIONS} SELECT conv_id::VARCHAR AS id, len(turns)::INTEGER AS n_turns, array_to_string(list_transform(turns, lambda t: t.role || '=' || t.text), '|') AS flat FROM s1")
+def session_assemble(spark, sf_dir):
+    df = schema.normalise_sessions(sessions(spark, sf_dir))
+    return df.select("id", F.size("turns").alias("n_turns"), F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("="), t["text"])), "|").alias("flat"))
+
+
+@query("session_schema_reasons", f"WITH {_SESSIONS} SELECT coalesce(err, 'ok') AS reason, count(*) AS n FROM s1 GROUP BY 1")
+def session_schema_reasons(spark, sf_dir):
+    return schema.normalise_sessions(sessions(spark, sf_dir)).groupBy(F.coalesce("_schema_error", F.lit("ok")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query("session_fingerprints", f"WITH {_SESSIONS} SELECT conv_id::VARCHAR AS id, fp AS fingerprint, later AS is_duplicate FROM s2 WHERE err IS NULL")
+def session_fingerprints(spark, sf_dir):
+    df = schema.normalise_sessions(sessions(spark, sf_dir)).where("_schema_error is null").withColumn("fingerprint", schema.session_fingerprint(F.col("turns")))
+    return ledger.first_wins(df, F.col("fingerprint")).select("id", "fingerprint", F.col("_later").alias("is_duplicate"))
+
+
+@query("session_outcome_ledger", f"WITH {_SESSIONS} SELECT conv_id::VARCHAR AS id, outcome, array_to_string(reasons, ',') AS reasons FROM led")
+def session_outcome_ledger(spark, sf_dir):
+    return _ledger(spark, sf_dir).select("id", F.col("_outcome").alias("outcome"), F.array_join("_reasons", ",").alias("reasons"))
+
+
+@query("ledger_outcome_counts", f"WITH {_SESSIONS} SELECT outcome, count(*) AS n FROM led GROUP BY 1")
+def ledger_outcome_counts(spark, sf_dir):
+    return ledger.outcome_counts(_ledger(spark, sf_dir))
+
+
+@query("ledger_reason_counts", f"WITH {_SESSIONS} SELECT reason, count(*) AS n FROM (SELECT unnest(reasons) AS reason FROM led) GROUP BY 1")
+def ledger_reason_counts(spark, sf_dir):
+    return ledger.reason_counts(_ledger(spark, sf_dir))
+
+
+@query(
+    "ledger_yield_rate",
+    f"""WITH {_SESSIONS}, c AS (SELECT count(*) FILTER (outcome = 'kept') AS produced, count(*) FILTER (outcome LIKE 'rejected%') AS rejected, count(*) FILTER (outcome = 'duplicate') AS duplicates FROM led)
+SELECT produced, rejected, duplicates, CASE WHEN produced + rejected > 0 THEN round_even(produced / (produced + rejected), 4) END AS yield_rate FROM c""",
+)
+def ledger_yield_rate(spark, sf_dir):
+    return ledger.yield_rate(_ledger(spark, sf_dir))
+
+
+@query("ledger_sample", f"WITH {_SESSIONS} SELECT id FROM (SELECT conv_id::VARCHAR AS id FROM led WHERE outcome = 'kept') ORDER BY sha256('7:' || id), id LIMIT 20")
+def ledger_sample(spark, sf_dir):
+    return ledger.sample(_ledger(spark, sf_dir), 20, 7).select("id")
+
+
+@query("rejected_records", f"WITH {_SESSIONS} SELECT conv_id::VARCHAR AS id, to_json(reasons)::VARCHAR AS reject_reasons FROM led WHERE outcome <> 'kept'")
+def rejected_records(spark, sf_dir):
+    return ledger.rejected(_ledger(spark, sf_dir)).select("id", F.to_json("_reject_reasons").alias("reject_reasons"))
+
+
+@query("status_counts", f"WITH {_SESSIONS} SELECT count(*) FILTER (outcome = 'kept') AS kept, count(*) FILTER (outcome <> 'kept') AS rejected, round(count(*) FILTER (outcome = 'kept') / count(*), 6) AS rate FROM led")
+def status_counts(spark, sf_dir):
+    """Unlike the yield rate, duplicates stand in this rate's denominator."""
+    is_kept = F.col("_outcome") == "kept"
+    return _ledger(spark, sf_dir).agg(F.count_if(is_kept).alias("kept"), F.count_if(~is_kept).alias("rejected"), F.round(F.count_if(is_kept) / F.count("*"), 6).alias("rate"))
+
+
+# -- one rule at a time over the assistant turns -----------------------------------
+
+_SAID = f"said AS (SELECT conv_id, turn, {_collapse('text')} AS t FROM conversations WHERE role = 'assistant')"
+_DOCS = "said AS (SELECT doc_id AS conv_id, 0 AS turn, text AS t FROM documents)"
+
+
+def _turn_rule(name: str, rule: rules.Rule, test_sql: str, source: str = "conversations") -> None:
+    """A rule over single assistant turns (or documents): how many each reason hits, and which."""
+    cte = _SAID if source == "conversations" else _DOCS
+
+    def run(spark, sf_dir):
+        if source == "conversations":
+            df = _table(spark, sf_dir, "conversations").where("role = 'assistant'").select("conv_id", "turn", text.collapse(F.col("text")).alias("t"))
+        else:
+            df = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"), F.lit(0).alias("turn"), F.col("text").alias("t"))
+        turns = F.array(F.struct(F.lit("assistant").alias("role"), F.col("t").alias("text")))
+        hit = F.array_join(F.array_compact(F.array(*(F.when(test(turns), F.lit(reason)) for reason, test in rule))), ",")
+        return df.select("conv_id", F.col("turn").cast("long").alias("turn"), hit.alias("reasons")).where("reasons <> ''")
+
+    query(name, f"WITH {cte}, hits AS (SELECT conv_id, turn::BIGINT AS turn, {test_sql} AS reasons FROM said) SELECT * FROM hits WHERE reasons <> ''")(run)
+
+
+def _if(cond: str, reason: str) -> str:
+    return f"CASE WHEN {cond} THEN '{reason}' ELSE '' END"
+
+
+_MD = r"(?m)(^#{1,6}\s|\*\*|^\s*[-*+]\s|^\s*\d+\.\s|```|\[.+\]\(.+\))"
+_turn_rule("gate_length_chars", rules.RULES["발화 길이"]("", "40~300글자"), "CASE WHEN length(t) < 40 THEN 'assistant_too_short' WHEN length(t) > 300 THEN 'assistant_too_long' ELSE '' END")
+_turn_rule(
+    "gate_length_sentences",
+    rules.RULES["발화 길이"]("", "2~6문장"),
+    "CASE WHEN len(list_filter(string_split_regex(t, '[.?!…]+'), lambda x: trim(x) <> '')) < 2 THEN 'assistant_too_short' WHEN len(list_filter(string_split_regex(t, '[.?!…]+'), lambda x: trim(x) <> '')) > 6 THEN 'assistant_too_long' ELSE '' END",
+)
+_turn_rule("gate_markdown", rules.RULES["마크다운"]("", "금지"), _if(f"regexp_matches(t, '{_MD}')", "markdown"))
+_turn_rule("gate_markdown_documents", rules.RULES["마크다운"]("", "금지"), _if(f"regexp_matches(t, '{_MD}')", "markdown"), "documents")
+_turn_rule("gate_script_latin", rules.RULES["문자"]("", "영문"), _if(r"regexp_matches(t, '[가-힣]')", "hangul_characters"), "documents")
+_turn_rule("gate_script_hangul", [r for r in rules.RULES["문자"]("", "한글") if r[0] in ("latin_words", "no_hangul")], r"array_to_string(list_filter([CASE WHEN regexp_matches(t, '[A-Za-z]{2,}') THEN 'latin_words' END, CASE WHEN NOT regexp_matches(t, '[가-힣]') THEN 'no_hangul' END], lambda x: x IS NOT NULL), ',')")
+_turn_rule("gate_emoji_documents", rules.RULES["이모지"]("", "금지"), _if(r"regexp_matches(t, '[\p{So}\p{Sk}\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}]')", "emoji"), "documents")
+_turn_rule("gate_ellipsis", rules.RULES["말줄임표"]("", "최대 1개"), _if("length(t) - length(replace(t, '…', '')) > 1", "multiple_ellipsis"))
+_turn_rule("gate_role_label_documents", rules.RULES["역할 표기"]("", "금지"), _if(r"regexp_matches(t, '(?i)(^|\s)(U|A|P|사용자|유저|user|assistant|pet)\s*[:：]')", "role_label_in_text"), "documents")
+_turn_rule("gate_ai_claim_documents", rules.RULES["AI 자칭"]("", "금지"), _if(r"regexp_matches(t, 'AI|A\.I\.|인공지능|언어모델|언어 모델|챗봇|챗 봇|프로그램|컴퓨터|모델이야|시스템 프롬프트|학습 데이터|토큰')", "claims_to_be_ai"), "documents")
+_turn_rule("gate_repeat", rules.RULES["반복"]("", "금지"), None and "")  # back-references have no DuckDB form
+ORACLE_SQL.pop("gate_repeat", None)
+
+
+@query(
+    "gate_repeat_words",
+    f"WITH {_SAID}, w AS (SELECT conv_id, turn, string_split(t, ' ') AS w FROM said) SELECT conv_id, turn FROM w WHERE len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1] AND length(w[i]) >= 2)) > 0",
+)
+def gate_repeat_words(spark, sf_dir):
+    df = _table(spark, sf_dir, "conversations").where("role = 'assistant'").withColumn("w", F.split(text.collapse(F.col("text")), " "))
+    rest = F.greatest(F.size("w") - 1, F.lit(0))
+    same = F.zip_with(F.slice("w", 1, rest), F.slice("w", 2, rest), lambda a, b: (a == b) & (F.char_length(a) >= 2))
+    return df.where(F.exists(same, lambda x: x)).select("conv_id", "turn")
+
+
+@query(
+    "gate_structure",
+    f"""WITH {_SESSIONS} SELECT conv_id::VARCHAR AS id, array_to_string(list_filter([
+  CASE WHEN len(turns) < 4 THEN 'too_few_turns' END, CASE WHEN len(turns) > 6 THEN 'too_many_turns' END,
+  CASE WHEN turns[1].role <> 'user' THEN 'does_not_start_with_user' END, CASE WHEN turns[-1].role <> 'assistant' THEN 'does_not_end_with_assistant' END,
+  CASE WHEN len(list_filter(range(1, len(turns)), lambda i: turns[i].role = turns[i + 1].role)) > 0 THEN 'roles_not_alternating' END,
+  CASE WHEN len(list_filter(turns, lambda t: t.text = '')) > 0 THEN 'utterance_empty' END], lambda x: x IS NOT NULL), ',') AS reasons FROM s0""",
+)
+def gate_structure(spark, sf_dir):
+    return sessions(spark, sf_dir).select("id", F.array_join(gate.gate(F.col("turns"), {}, min_turns=4, max_turns=6), ",").alias("reasons"))
+
+
+# -- rules for Korean over literals -------------------------------------------------
+
+_KOREAN = [
+    "안녕하세요", "응, 나도 좋아", "배고파. 밥 줘", "그렇습니다.", "네.", "재밌네", "같이 가요", "놀자놀자놀자", "정말 정말 좋아",
+    "몽글이는 졸려", "몽글이 왔어", "나몽 글몽", "좋아… 정말… 응", "너는 챗봇이야?", "U: 안녕", "**강조** 해", "漢字를 써", "ひらがな", "hello there", "음…", "오호, 네!",
+]
+
+
+def _values(items: list[str]) -> str:
+    return "(VALUES " + ", ".join(f"({k}, '{x}')" for k, x in enumerate(items)) + ") v(k, t)"
+
+
+_POLITE = "|".join(rules.POLITE_ENDINGS)
+_TRAIL = r"""[.!?~…\s"'”’)\]]*$""".replace("'", "''")
+_KOREAN_TESTS = {
+    "gate_register_informal": ("말투", "반말", r"regexp_matches(t, '(요[.!?~…]?$|요\s|습니다|입니다|세요|십시오|하십|드립니다|드려요|예요|이에요)')"),
+    "gate_register_honorific": ("말투", "존댓말", rf"NOT (regexp_matches(trim(t), '(?:{_POLITE}){_TRAIL}') OR regexp_matches(trim(t), '^{rules.INTERJECTION}(?:[\s,·…]*{rules.INTERJECTION})*{_TRAIL}'))"),
+    "gate_name_suffix": ("이름 어미", "금지", "len(list_filter(regexp_extract_all(t, '[가-힣]+'), lambda w: length(w) >= 2 AND contains('몽글', right(w, 1)) AND NOT starts_with(w, '몽글'))) > 0"),
+    "gate_third_person": ("3인칭 자칭", "금지", r"regexp_matches(t, '^몽글(이|이가|은|는|도|이도)([^\p{L}\p{N}_]|$)')"),
+    "gate_ellipsis_korean": ("말줄임표", "최대 1개", "length(t) - length(replace(t, '…', '')) > 1"),
+    "gate_cjk_kana": ("문자", "영문", r"regexp_matches(t, '[가-힣\x{4e00}-\x{9fff}\x{3040}-\x{30ff}]')"),
+}
+for _name, (_key, _value, _sql) in _KOREAN_TESTS.items():
+
+    def _run(spark, sf_dir, key=_key, value=_value):
+        df = spark.createDataFrame(list(enumerate(_KOREAN)), "k int, t string")
+        turns = F.array(F.struct(F.lit("assistant").alias("role"), F.col("t").alias("text")))
+        tests = rules.RULES[key]("몽글", value)
+        hit = F.lit(False)
+        for _, test in tests:
+            hit = hit | test(turns)
+        return df.select("k", hit.alias("hit"))
+
+    query(_name, f"SELECT k::INTEGER AS k, {_sql} AS hit FROM {_values(_KOREAN)}")(_run)
+
+
+# -- utterances ---------------------------------------------------------------------
+
+
+@query("utterance_normalize", f"SELECT doc_id, {_collapse('text')} AS text, length({_collapse('text')})::INTEGER AS n FROM documents")
+def utterance_normalize(spark, sf_dir):
+    df = text.normalise_column(_table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    return df.select("doc_id", "text", F.char_length("text").alias("n"))
+
+
+@query("utterance_fingerprint", f"SELECT doc_id::VARCHAR AS id, sha256({_fold(_collapse('text'))}) AS fingerprint FROM documents")
+def utterance_fingerprint(spark, sf_dir):
+    return schema.normalise_utterances(utterances(spark, sf_dir)).select("id", schema.utterance_fingerprint(F.col("text")).alias("fingerprint"))
+
+
+@query(
+    "utterance_ledger",
+    f"""WITH f AS (SELECT doc_id, row_number() OVER (PARTITION BY {_fold(_collapse("text"))} ORDER BY doc_id) > 1 AS later FROM documents)
+SELECT doc_id::VARCHAR AS id, CASE WHEN later THEN 'duplicate' ELSE 'kept' END AS outcome FROM f""",
+)
+def utterance_ledger(spark, sf_dir):
+    return ledger.ledger(utterances(spark, sf_dir), schema.UTTERANCES).select("id", F.col("_outcome").alias("outcome"))
+
+
+_CLEAN = f"clean AS (SELECT doc_id, source, lang, {_collapse('text')} AS t FROM documents WHERE length({_collapse('text')}) BETWEEN 20 AND CASE WHEN lang = 'en' THEN 2000 ELSE 4000 END)"
+_DISTINCT = f"dist AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, {_fold('t')} ORDER BY doc_id) AS r FROM clean) WHERE r = 1)"
+_SAMPLED = "samp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY sha256('11:' || t), doc_id) AS q FROM dist) WHERE q <= 12)"
+_SIGNAL = ["th", "er", "io", "ch", "eu", "ci"]
+_STEMS = ["idiot", "moron", "trash"]
+
+
+def _ingest(spark, sf_dir):
+    raw = utterances(spark, sf_dir)
+    clean = stages.clean_utterances(raw, "en", 20, 2000)
+    distinct = stages.distinct_utterances(clean)
+    sampled = stages.sample_sources(distinct, 12, 11)
+    judged = stages.judge_topics(sampled.withColumn("text", F.lower("text")), _SIGNAL, 20, 1500, 4, _STEMS, LATIN)
+    return raw, distinct, sampled, judged
+
+
+_JUDGED = f"""runs AS (SELECT *, lower(t) AS lt, regexp_extract_all(lower(t), '[{LATIN}]+') AS tok FROM samp),
+judged AS (
+  SELECT *, CASE WHEN len(list_filter(tok, lambda w: starts_with(w, 'idiot') OR starts_with(w, 'moron') OR starts_with(w, 'trash'))) > 0 THEN 'unsafe'
+    WHEN NOT (length(lt) BETWEEN 20 AND 1500 AND len(tok) > 0 AND len(list_filter(['th','er','io','ch','eu','ci'], lambda b: len(list_filter(tok, lambda w: contains(w, b))) > 0)) >= 4) THEN 'off_topic'
+    ELSE 'in_scope' END AS verdict FROM runs
+)"""
+
+
+@query("utterance_length_filter", f"WITH {_CLEAN} SELECT doc_id::VARCHAR AS id, length(t)::INTEGER AS n FROM clean")
+def utterance_length_filter(spark, sf_dir):
+    return stages.clean_utterances(utterances(spark, sf_dir), "en", 20, 2000).select("id", F.char_length("text").alias("n"))
+
+
+@query("utterance_distinct_first_wins", f"WITH {_CLEAN}, {_DISTINCT} SELECT doc_id::VARCHAR AS id, source FROM dist")
+def utterance_distinct(spark, sf_dir):
+    return _ingest(spark, sf_dir)[1].select("id", "source")
+
+
+@query("utterance_sample_per_source", f"WITH {_CLEAN}, {_DISTINCT}, {_SAMPLED} SELECT doc_id::VARCHAR AS id, source FROM samp")
+def utterance_sample(spark, sf_dir):
+    return _ingest(spark, sf_dir)[2].select("id", "source")
+
+
+@query("safety_and_topic", f"WITH {_CLEAN}, {_DISTINCT}, {_SAMPLED}, {_JUDGED} SELECT doc_id::VARCHAR AS id, verdict FROM judged")
+def safety_and_topic(spark, sf_dir):
+    return _ingest(spark, sf_dir)[3].select("id", F.col("_verdict").alias("verdict"))
+
+
+@query(
+    "topic_bigrams",
+    f"SELECT doc_id, len(list_distinct(flatten(list_transform(regexp_extract_all(text, '[{LATIN}]+'), lambda w: list_transform(range(1, length(w)), lambda i: substr(w, i, 2))))))::INTEGER AS n FROM documents",
+)
+def topic_bigrams(spark, sf_dir):
+    return _table(spark, sf_dir, "documents").select("doc_id", F.size(text.bigrams(F.col("text"), LATIN)).alias("n"))
+
+
+@query(
+    "ingest_per_source_stats",
+    f"""WITH {_CLEAN}, {_DISTINCT}, {_SAMPLED}, {_JUDGED}
+SELECT d.source, d.n AS raw, (SELECT count(*) FROM dist x WHERE x.source = d.source) AS "distinct", (SELECT count(*) FROM samp x WHERE x.source = d.source) AS sampled,
+ (SELECT count(*) FROM judged x WHERE x.source = d.source AND verdict = 'in_scope') AS in_scope, (SELECT count(*) FROM judged x WHERE x.source = d.source AND verdict = 'unsafe') AS unsafe,
+ (SELECT count(*) FROM judged x WHERE x.source = d.source AND verdict = 'off_topic') AS off_topic FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1) d""",
+)
+def ingest_per_source_stats(spark, sf_dir):
+    return stages.source_stats(*_ingest(spark, sf_dir))
+
+
+@query("utterance_records", f"WITH {_CLEAN}, {_DISTINCT}, {_SAMPLED}, {_JUDGED} SELECT format('{{}}-{{:06d}}', source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) AS id, doc_id AS pos FROM judged WHERE verdict = 'in_scope'")
+def utterance_records(spark, sf_dir):
+    return stages.utterance_records(_ingest(spark, sf_dir)[3]).select("id", F.col("_pos").alias("pos"))
+
+
+@query(
+    "translate_foreign",
+    f"""WITH n AS (SELECT doc_id, lang, {_collapse("text")} AS t FROM documents)
+SELECT doc_id AS pos, CASE WHEN lang = 'en' THEN t WHEN regexp_matches(t, '[가-힣]') THEN '응, ' || substr(t, 1, 12) || ' 좋아.' ELSE '같이 놀자, ' || length(t) || '번째 말이야.' END AS text, 'en' AS language, CASE WHEN lang <> 'en' THEN lang END AS original_language FROM n""",
+)
+def translate_foreign(spark, sf_dir):
+    df = text.normalise_column(utterances(spark, sf_dir), "text")
+    return teachers.translate(df, teachers.echo, "en").select(F.col("_pos").alias("pos"), "text", "language", "original_language")
+
+
+# -- extractors -----------------------------------------------------------------------
+
+_CONV_LISTS = "SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS conv, list(text ORDER BY turn) AS items FROM conversations GROUP BY conv_id"
+
+
+def _conv_rows(spark, sf_dir) -> DataFrame:
+    packed = _table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("x"))
+    conv = F.transform("x", lambda t: F.create_map(F.lit("role"), t["role"], F.lit("content"), t["text"]))
+    return packed.select(F.col("conv_id").alias("_row"), conv.alias("conv"), F.transform("x", lambda t: t["text"]).alias("items"))
+
+
+@query("extract_conversation_roles", f"WITH c AS ({_CONV_LISTS}), e AS (SELECT conv_id, list_filter(conv, lambda t: t.role NOT IN ('assistant', 'system')) AS f FROM c) SELECT conv_id AS row, (i - 1)::INTEGER AS item, trim(f[i].content) AS text FROM e, unnest(range(1, len(f) + 1)) u(i) WHERE trim(f[i].content) <> ''")
+def extract_conversation(spark, sf_dir):
+    out = extractors.extract(_conv_rows(spark, sf_dir), "conversation", ["conv"], {"exclude_roles": ["assistant", "system"]})
+    return out.select(F.col("_row").alias("row"), F.col("_item").alias("item"), "text")
+
+
+@query("extract_list_even", f"WITH c AS ({_CONV_LISTS}), e AS (SELECT conv_id, list_filter(items, lambda t, i: i % 2 = 1) AS f FROM c) SELECT conv_id AS row, (i - 1)::INTEGER AS item, trim(f[i]) AS text FROM e, unnest(range(1, len(f) + 1)) u(i) WHERE trim(f[i]) <> ''")
+def extract_list(spark, sf_dir):
+    return extractors.extract(_conv_rows(spark, sf_dir), "list", ["items"], {"keep": "even"}).select(F.col("_row").alias("row"), F.col("_item").alias("item"), "text")
+
+
+@query("extract_regex_all", "WITH m AS (SELECT page_id, regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) AS f FROM pages) SELECT page_id AS row, (i - 1)::INTEGER AS item, trim(f[i], ' ' || chr(10) || chr(13) || chr(9)) AS text FROM m, unnest(range(1, len(f) + 1)) u(i) WHERE trim(f[i], ' ' || chr(10) || chr(13) || chr(9)) <> ''")
+def extract_regex(spark, sf_dir):
+    rows = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("_row"), "html")
+    return extractors.extract(rows, "regex", ["html"], {"pattern": "<p>(.*?)</p>"}).select(F.col("_row").alias("row"), F.col("_item").alias("item"), "text")
+
+
+@query("extract_field_multi", "SELECT event_id AS row, f::INTEGER AS field, x AS text FROM (SELECT event_id, 0 AS f, trim(event_type) AS x FROM events UNION ALL SELECT event_id, 1, trim(props) FROM events) WHERE x <> ''")
+def extract_field(spark, sf_dir):
+    rows = _table(spark, sf_dir, "events").select(F.col("event_id").alias("_row"), "event_type", "props")
+    return extractors.extract(rows, "field", ["event_type", "props"]).select(F.col("_row").alias("row"), F.col("_field").alias("field"), "text")
+
+
+# -- overuse, assembling, export ---------------------------------------------------------
+
+
+def _short_sessions(spark, sf_dir) -> DataFrame:
+    """Sessions whose turns are cut to their first word, so that lines repeat."""
+    df = schema.normalise_sessions(sessions(spark, sf_dir)).drop("_schema_error")
+    first = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), F.substring_index(t["text"], " ", 1).alias("text")))
+    return df.withColumn("turns", first)
+
+
+_LINES = f"WITH {_SESSIONS}, lines AS (SELECT conv_id, i, split_part(turns[i].text, ' ', 1) AS t FROM s1, unnest(range(1, len(turns) + 1)) u(i) WHERE turns[i].role = 'assistant'), ranked AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY conv_id, i) AS r FROM lines)"
+
+
+@query("overuse_running_count", f"{_LINES} SELECT conv_id AS pos, (i - 1)::INTEGER AS turn, r::INTEGER AS occurrence FROM ranked")
+def overuse_running_count(spark, sf_dir):
+    lines = stages.assistant_lines(_short_sessions(spark, sf_dir))
+    order = Window.partitionBy("text").orderBy("_pos", "_turn")
+    return lines.select(F.col("_pos").alias("pos"), F.col("_turn").alias("turn"), F.row_number().over(order).alias("occurrence"))
+
+
+@query("overuse_session_drop", f"{_LINES} SELECT DISTINCT conv_id AS pos FROM ranked WHERE r > 3")
+def overuse_session_drop(spark, sf_dir):
+    return stages.overused(_short_sessions(spark, sf_dir), 3).select(F.col("_pos").alias("pos"))
+
+
+RATIOS = {"a": 0.55, "b": 0.25, "c": 0.2}
+SPLIT = {"train": 0.8, "val": 0.1, "test": 0.1}
+_POOL = "pool AS (SELECT conv_id, conv_id::VARCHAR AS id, CASE WHEN conv_id % 10 < 5 THEN 'a' WHEN conv_id % 10 < 8 THEN 'b' ELSE 'c' END AS bucket FROM (SELECT DISTINCT conv_id FROM conversations WHERE role <> 'system'))"
+_WANT = "want AS (SELECT * FROM (VALUES ('a', 44), ('b', 20), ('c', 16)) w(bucket, want))"
+_DRAWN = f"{_POOL}, {_WANT}, ranked AS (SELECT p.*, want, row_number() OVER (PARTITION BY p.bucket ORDER BY sha256('5:' || id), conv_id) AS r FROM pool p JOIN want w ON p.bucket = w.bucket), drawn AS (SELECT * FROM ranked WHERE r <= want)"
+
+
+def _pool(spark, sf_dir) -> DataFrame:
+    digit = F.col("_pos") % 10
+    return sessions(spark, sf_dir).withColumn("bucket", F.when(digit < 5, "a").when(digit < 8, "b").otherwise("c"))
+
+
+@query("mix_draw_ratio", f"WITH {_DRAWN} SELECT id, bucket FROM drawn")
+def mix_draw_ratio(spark, sf_dir):
+    return stages.draw(_pool(spark, sf_dir), RATIOS, 80, 5).select("id", "bucket")
+
+
+@query("mix_shortfall", f"WITH {_POOL}, {_WANT} SELECT w.bucket, w.want - coalesce(n, 0) AS shortfall FROM want w LEFT JOIN (SELECT bucket, count(*) AS n FROM pool GROUP BY 1) p ON p.bucket = w.bucket WHERE w.want > coalesce(n, 0)")
+def mix_shortfall(spark, sf_dir):
+    return stages.shortfall(_pool(spark, sf_dir), stages.bucket_targets(spark, RATIOS, 80))
+
+
+_SPLIT = f"WITH {_DRAWN}, ordered AS (SELECT *, row_number() OVER (ORDER BY sha256('5:split:' || id), conv_id) - 1 AS place, count(*) OVER () AS n FROM drawn), split AS (SELECT *, CASE WHEN place < floor(n * 0.1) THEN 'val' WHEN place < 2 * floor(n * 0.1) THEN 'test' ELSE 'train' END AS split FROM ordered)"
+
+
+def _split(spark, sf_dir) -> DataFrame:
+    return stages.split_sessions(stages.draw(_pool(spark, sf_dir), RATIOS, 80, 5), SPLIT, 5)
+
+
+@query("split_assign", f"{_SPLIT} SELECT id, split FROM split")
+def split_assign(spark, sf_dir):
+    return _split(spark, sf_dir).select("id", "split")
+
+
+@query("split_counts", f"{_SPLIT} SELECT split, count(*) AS n FROM split GROUP BY 1")
+def split_counts(spark, sf_dir):
+    return _split(spark, sf_dir).groupBy("split").agg(F.count("*").alias("n"))
+
+
+@query("selected_by_bucket", f"WITH {_DRAWN} SELECT bucket AS name, count(*) AS n FROM drawn GROUP BY 1")
+def selected_by_bucket(spark, sf_dir):
+    return stages.selected_counts(stages.draw(_pool(spark, sf_dir), RATIOS, 80, 5))
+
+
+SYSTEM = "You are a small friend."
+_RENDER = f"""render AS (SELECT conv_id, '<|im_start|>system' || chr(10) || '{SYSTEM}<|im_end|>' || chr(10) ||
+ array_to_string(list_transform(turns, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)), '') AS r FROM s1)"""
+
+
+def _messages(spark, sf_dir) -> DataFrame:
+    return export.to_messages(schema.normalise_sessions(sessions(spark, sf_dir)), SYSTEM)
+
+
+@query("export_messages", f"WITH {_SESSIONS} SELECT conv_id::VARCHAR AS id, (len(turns) + 1)::INTEGER AS n, 'system={SYSTEM}|' || array_to_string(list_transform(turns, lambda t: t.role || '=' || t.text), '|') AS flat FROM s1")
+def export_messages(spark, sf_dir):
+    flat = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit("="), m["content"])), "|")
+    return _messages(spark, sf_dir).select("id", F.size("messages").alias("n"), flat.alias("flat"))
+
+
+@query("export_chatml_render", f"WITH {_SESSIONS}, {_RENDER} SELECT conv_id::VARCHAR AS id, r AS rendered FROM render")
+def export_chatml_render(spark, sf_dir):
+    return export.rendered(_messages(spark, sf_dir)).select("id", "rendered")
+
+
+@query(
+    "export_length_report",
+    f"""WITH {_SESSIONS}, {_RENDER}, q AS (SELECT count(*) AS count, quantile_disc(length(r), 0.5) AS p50, quantile_disc(length(r), 0.95) AS p95, quantile_disc(length(r), 0.99) AS p99, max(length(r)) AS max FROM render)
+SELECT 'characters' AS method, count, p50::BIGINT AS p50, p95::BIGINT AS p95, p99::BIGINT AS p99, max::BIGINT AS max, greatest(1, p99)::BIGINT AS cutoff_len FROM q""",
+)
+def export_length_report(spark, sf_dir):
+    return export.length_report(export.rendered(_messages(spark, sf_dir)).select(F.char_length("rendered").alias("n")), "n")
+
+
+@query("export_rendered_sample", f"WITH {_SESSIONS}, {_RENDER} SELECT string_agg(r, chr(10) || '---' || chr(10) ORDER BY conv_id) AS sample FROM (SELECT * FROM render ORDER BY conv_id LIMIT 3)")
+def export_rendered_sample(spark, sf_dir):
+    first = export.rendered(_messages(spark, sf_dir)).select("_pos", "rendered").orderBy("_pos").limit(3)
+    return first.agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_pos", "rendered"))), lambda x: x["rendered"]), "\n---\n").alias("sample"))
+
+
+@query("export_generator_counts", "WITH c AS (SELECT DISTINCT conv_id FROM conversations WHERE role <> 'system') SELECT generator, count(*) AS n FROM (SELECT unnest(CASE WHEN conv_id % 3 = 0 THEN ['m1', 'm2'] ELSE ['m1'] END) AS generator FROM c) GROUP BY 1")
+def export_generator_counts(spark, sf_dir):
+    return export.generator_counts(sessions(spark, sf_dir))
+
+
+_PROVENANCE = "p AS (SELECT doc_id, source, lang, CASE doc_id % 3 WHEN 0 THEN 'cc0' WHEN 1 THEN 'mit' END AS license, CASE WHEN doc_id % 5 = 4 THEN 'http://x/' || source END AS url FROM documents)"
+
+
+def _provenance(spark, sf_dir) -> DataFrame:
+    d = _table(spark, sf_dir, "documents")
+    license_ = F.when(F.col("doc_id") % 3 == 0, "cc0").when(F.col("doc_id") % 3 == 1, "mit")
+    url = F.when(F.col("doc_id") % 5 == 4, F.concat(F.lit("http://x/"), "source"))
+    return d.select("source", F.col("source").alias("source_dataset"), license_.alias("license"), url.alias("source_url"), F.col("lang").alias("original_language"), F.lit(None).cast("string").alias("translator"), F.col("doc_id").alias("_pos"))
+
+
+@query("export_source_license_sets", f"WITH {_PROVENANCE} SELECT source, array_to_string(list_sort(list(DISTINCT license) FILTER (license IS NOT NULL)), ',') AS licenses FROM p GROUP BY 1")
+def export_license_sets(spark, sf_dir):
+    return export.license_sets(_provenance(spark, sf_dir)).select("source", F.array_join("licenses", ",").alias("licenses"))
+
+
+@query("export_source_dataset_summary", f"WITH {_PROVENANCE} SELECT source AS source_dataset, count(*) AS n, arg_min(license, doc_id) FILTER (license IS NOT NULL) AS license, arg_min(url, doc_id) FILTER (url IS NOT NULL) AS source_url, arg_min(lang, doc_id) FILTER (lang IS NOT NULL) AS original_language, NULL::VARCHAR AS translator FROM p GROUP BY 1")
+def export_dataset_summary(spark, sf_dir):
+    return export.dataset_summary(_provenance(spark, sf_dir))
+
+
+@query("export_source_counts", "SELECT source, count(*) AS n FROM documents GROUP BY 1")
+def export_source_counts(spark, sf_dir):
+    return export.source_counts(_provenance(spark, sf_dir))
+
+
+@query("export_size_bucket", "SELECT n, CASE WHEN n < 1000 THEN 'n<1K' WHEN n < 10000 THEN '1K<n<10K' WHEN n < 100000 THEN '10K<n<100K' WHEN n < 1000000 THEN '100K<n<1M' ELSE '1M<n<10M' END AS bucket FROM (SELECT (10 ** k)::BIGINT - 1 AS n FROM range(1, 8) t(k) UNION ALL SELECT count(*) FROM documents)")
+def export_size_bucket(spark, sf_dir):
+    powers = spark.range(1, 8).select((F.pow(F.lit(10), "id") - 1).cast("long").alias("n"))
+    n = powers.unionByName(_table(spark, sf_dir, "documents").agg(F.count("*").alias("n")))
+    return n.select("n", export.size_bucket(F.col("n")).alias("bucket"))
+
+
+# -- generation --------------------------------------------------------------------------
+
+BEATS = ["첫 만남", "인사", "작별", "밥 요청", "놀이 제안"]
+_H = "(('0x' || substr(sha256('3:{salt}:' || key), 1, 8))::BIGINT % {k})::INTEGER + 1"
+_REQUESTS = f"""beats AS (SELECT i::INTEGER AS beat_index, ['첫 만남', '인사', '작별', '밥 요청', '놀이 제안'][i + 1] AS beat FROM range(5) t(i)),
+req AS (SELECT beat || ':' || n AS key, beat_index, beat, n::INTEGER AS n FROM beats, range(4) u(n)),
+full_req AS (SELECT *, [2, 3, 4][{_H.format(salt="turns", k=3)}] AS turns, ['x', 'y'][{_H.format(salt="flow", k=2)}] AS flow FROM req)"""
+
+
+def _requests(spark) -> DataFrame:
+    beats = spark.createDataFrame(list(enumerate(BEATS)), "beat_index int, beat string")
+    return stages.dialogue_requests(beats, 4, [2, 3, 4], ["x", "y"], 3)
+
+
+@query("dialogue_request_cross", f"WITH {_REQUESTS} SELECT * FROM full_req")
+def dialogue_request_cross(spark, sf_dir):
+    return _requests(spark)
+
+
+def _answers(spark) -> DataFrame:
+    asked = _requests(spark).withColumn("user", F.format_string("상황: %s\n흐름: %s\n길이: 친구 %d번, 펫 %d번", "beat", "flow", "turns", "turns"))
+    return asked.join(teachers.echo(asked), "key").select("key", "beat_index", "beat", "n", "text")
+
+
+@query(
+    "dialogue_sessions",
+    f"""WITH {_REQUESTS} SELECT format('dialogue-{{:06d}}', row_number() OVER (ORDER BY beat_index, n) - 1) AS id, beat AS scenario, (2 * turns)::INTEGER AS n_turns,
+ '응, ' || substr(beat, 1, 12) || ' ' || turns || '번째 좋아.' AS last FROM full_req""",
+)
+def dialogue_sessions(spark, sf_dir):
+    out = stages.dialogue_sessions(_answers(spark), "echo")
+    return out.select("id", "scenario", F.size("turns").alias("n_turns"), F.element_at("turns", -1)["text"].alias("last"))
+
+
+_RAW = ["U: a\nA: b", "u: a\n\nnote\nA: \"b\"", "A: x\nU: a\nU: b\nA: c\nU: d", "U:\nA: b", "U: a", "nothing", "U: a\nA: b\nA: c\nU: d\nA: e"]
+_PARSED = ["U: a\nA: b", "U: a\nA: b", "U: a b\nA: c", "", "", "", "U: a\nA: b c\nU: d\nA: e"]
+
+
+@query("dialogue_parse_repair", "SELECT * FROM (VALUES " + ", ".join("({}, '{}')".format(k, x.replace("\n", "' || chr(10) || '")) for k, x in enumerate(_PARSED)) + ") v(k, dialogue)")
+def dialogue_parse_repair(spark, sf_dir):
+    df = spark.createDataFrame(list(enumerate(_RAW)), "k int, raw string")
+    return df.select("k", text.render_dialogue(text.repair_dialogue(text.parse_dialogue(F.col("raw")))).alias("dialogue"))
+
+
+_REPLIES = ["A: hi", "\n  \"quoted\"  \nnext", "사용자 : '좋아'", "", "pet: yes: no", "plain"]
+_REPLY_TEXTS = ["hi", "quoted", "좋아", "", "yes: no", "plain"]
+
+
+@query("reply_text_values", "SELECT * FROM (VALUES " + ", ".join(f"({k}, '{x}')" for k, x in enumerate(_REPLY_TEXTS)) + ") v(k, reply)")
+def reply_text_values(spark, sf_dir):
+    return spark.createDataFrame(list(enumerate(_REPLIES)), "k int, raw string").select("k", text.reply_text(F.col("raw")).alias("reply"))
+
+
+@query(
+    "respond_join_provenance",
+    f"""WITH n AS (SELECT doc_id, source, {_collapse("text")} AS t FROM documents WHERE lang <> 'fr')
+SELECT 'respond-' || doc_id AS id, 'source:' || source AS scenario, source AS source_dataset, t AS said, '같이 놀자, ' || length(t) || '번째 말이야.' AS reply FROM n""",
+)
+def respond_join_provenance(spark, sf_dir):
+    df = text.normalise_column(utterances(spark, sf_dir).where("language <> 'fr'"), "text")
+    answers = teachers.echo(df.select(F.col("id").alias("key"), F.lit("").alias("system"), F.col("text").alias("user")))
+    out = stages.response_sessions(df, answers, "echo")
+    return out.select("id", "scenario", "source_dataset", F.get("turns", F.lit(0))["text"].alias("said"), F.get("turns", F.lit(1))["text"].alias("reply"))
+
+
+@query("language_names", "SELECT lang AS code, CASE lang WHEN 'en' THEN '영어' WHEN 'fr' THEN '프랑스어' WHEN 'de' THEN '독일어' WHEN 'es' THEN '스페인어' END AS name, count(*) AS n FROM documents GROUP BY 1, 2")
+def language_names(spark, sf_dir):
+    d = _table(spark, sf_dir, "documents")
+    return d.groupBy(F.col("lang").alias("code"), text.language_name(F.col("lang")).alias("name")).agg(F.count("*").alias("n"))
+
+
+@query("json_lines", "SELECT doc_id AS pos, '{\"doc_id\":' || doc_id || ',\"lang\":\"' || lang || '\",\"url\":null}' AS value FROM documents")
+def json_lines(spark, sf_dir):
+    from ..sources.sinks import json_lines as lines
+
+    df = _table(spark, sf_dir, "documents").select("doc_id", "lang", F.lit(None).cast("string").alias("url"), F.col("doc_id").alias("_pos"))
+    return lines(df).select(F.col("_pos").alias("pos"), "value")
