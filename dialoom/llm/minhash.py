@@ -200,17 +200,19 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sketches = materialise(map_arrow(rows, _sketch, SKETCH), "minhash-sketches")
     classes = sketches.where("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("cid"))
-    classes = classes.where("cid is not null").select(F.col("fp").alias("_fp"), "cid")
+    classes = materialise(classes.where("cid is not null").select(F.col("fp").alias("_fp"), "cid"), "minhash-classes")
     joined = sketches.where("fp is not null and doc_id is not null").join(classes, F.col("fp") == F.col("_fp"))
     heads = joined.where("doc_id = cid").select("cid", F.explode("bands").alias("bucket"))
     heads = heads.distinct()  # repeated rows of one document
     least = heads.groupBy("bucket").agg(F.min("cid").alias("least"), F.max("cid").alias("_most"))
-    least = least.where("least < _most").select(F.col("bucket").alias("_bucket"), "least")
+    # written before the join, which adaptive execution can then split where a bucket is very full
+    least = materialise(least.where("least < _most").select(F.col("bucket").alias("_bucket"), "least"), "minhash-buckets")
     stars = heads.join(least, F.col("bucket") == F.col("_bucket")).where("cid <> least")
     families = components(stars.select(F.col("cid").alias("u"), F.col("least").alias("v")))
     families = materialise(families.join(classes, F.col("node") == F.col("cid")).select("cid", "_fp", F.col("component").alias("family")), "minhash-families")
     wanted = families.select("cid", F.col("_fp").alias("fp"), "family")
-    members = rows.join(wanted, F.col("doc_id") == F.col("cid")).select("cid", "family", "fp", "text")
+    # always dealt by id: a broadcast of the classes would do for small tables only
+    members = rows.join(wanted.hint("merge"), F.col("doc_id") == F.col("cid")).select("cid", "family", "fp", "text")
     members = materialise(map_arrow(members, _member, MEMBER), "minhash-members")
     sizes = members.groupBy("family").agg(F.count("*").alias("_n"), F.sum(F.octet_length("items")).alias("_b"))
     sizes = sizes.select(F.col("family").alias("_family"), F.expr(f"cast(ceil(greatest(_n / {BLOCK}, _b / {8 * BLOCK_ITEMS})) as int)").alias("blocks"))
@@ -229,7 +231,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         found = block_links(ids, signatures, sets, side, percent)
         return pa.Table.from_arrays([pa.array([e[k] for e in found], pa.int64()) for k in (0, 1)], schema=edge_schema)
 
-    links = blocks.groupBy("family", "lo", "hi").applyInArrow(link, edges)
+    # dealt by pair of blocks: the join above leaves whole families together
+    links = blocks.repartition("family", "lo", "hi").groupBy("family", "lo", "hi").applyInArrow(link, edges)
     groups = components(links).select("node", "component")
     classes = classes.join(groups, F.col("cid") == F.col("node"), "left").select("_fp", F.coalesce("component", "cid").alias("group"))
     out = sketches.select("doc_id", "n_shingles", "fp").join(classes, F.col("fp") == F.col("_fp"), "left")
