@@ -211,6 +211,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> L
         return pa.RecordBatch.from_arrays(cols, schema=arrow_schema(POINT))
 
     got = np.array([tuple(r) for r in map_arrow(sample, points, POINT).collect()], float)  # sample_rows rows of five numbers
+    if not len(got):  # no labelled document is in the table
+        return Lexicon({})
     got = got[np.lexsort(got.T)]
     lexicon.curve = _logistic(got[:, 1:], got[:, 0])
     return lexicon
