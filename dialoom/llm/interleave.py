@@ -256,6 +256,6 @@ def document_pages(docs: DataFrame) -> DataFrame:
 def op1_interleaved_media(spark, sf_dir: str) -> DataFrame:
     """Null and empty texts give one row of zeros; repeated rows are answered each."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    facts = media_facts(materialise(store_media(docs), "media-store"))
+    facts = materialise(media_facts(materialise(store_media(docs), "media-store")), "media-facts")
     items = page_items(document_pages(docs), only_media=True)
     return resolve(items, facts).select("doc_id", "n_bytes", *FACTS.names[1:], "n_items", "position", "caption")
