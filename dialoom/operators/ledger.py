@@ -16,7 +16,8 @@ def first_wins(df: DataFrame, key: Column, position: str = "_pos") -> DataFrame:
     The first position of each key is a partial aggregate joined back, not a window, so a key that a
     third of all rows share is summed before the shuffle and its join partition can be split.
     """
-    keyed = df.withColumn("_key", key)
+    # the row number keeps predicates on the key above it: pushed down they would compute the key again
+    keyed = df.withColumn("_key", F.when(F.monotonically_increasing_id() >= 0, key))
     first = keyed.where("_key is not null").groupBy("_key").agg(F.min(position).alias("_first"))
     first = first.withColumnRenamed("_key", "_of")
     joined = keyed.join(first, F.col("_key") == F.col("_of"), "left")

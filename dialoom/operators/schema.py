@@ -76,7 +76,7 @@ def normalise_utterances(df: DataFrame) -> DataFrame:
         (_filled("id") != "", "id"),
         (_filled("source") != "", "source"),
         (_filled("license") != "", "license"),
-        (_filled("text") != "", "text"),
+        (F.coalesce("text", F.lit("")) != "", "text"),
         (F.col("language").rlike("^[a-z]{2}$"), "language"),
     ]
     return df.withColumn("_schema_error", _first_error(checks))

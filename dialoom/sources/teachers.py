@@ -28,7 +28,8 @@ ECHO_QUESTION, ECHO_ANSWER = "{} 어때?", "응, {} 좋아."
 
 def echo(requests: DataFrame) -> DataFrame:
     """A deterministic teacher for smoke runs: dialogues of the asked length, else one short line."""
-    lines = F.filter(F.transform(F.split(F.col("user"), r"\R"), strip), lambda x: x != "")
+    requests = requests.withColumn("_lines", F.filter(F.transform(F.split(F.col("user"), r"\R"), strip), lambda x: x != ""))
+    lines = F.col("_lines")
     first, last = F.coalesce(F.get(lines, F.lit(0)), F.lit("")), F.coalesce(F.get(lines, F.size(lines) - 1), F.lit(""))
     situation = strip(F.regexp_replace(first, f"^{SITUATION_MARK}", ""))
     head = F.substring(situation, 1, 12)
