@@ -53,6 +53,23 @@ def length_report(lengths: DataFrame, column: str, method: str = "characters") -
     return row.withColumn("cutoff_len", cutoff)
 
 
+def token_lengths(texts: DataFrame, column: str, tokenizer_file: str) -> DataFrame | None:
+    """``n`` tokens of each text by a tokenizer file, in Arrow batches; None if it cannot be loaded."""
+    try:
+        from tokenizers import Tokenizer
+
+        Tokenizer.from_file(tokenizer_file)
+    except Exception:  # the library raises bare exceptions; characters stand in for tokens then
+        return None
+
+    def run(batches):
+        tokenizer = Tokenizer.from_file(tokenizer_file)
+        for pdf in batches:
+            yield pdf.assign(n=[len(e.ids) for e in tokenizer.encode_batch(pdf[column].tolist(), add_special_tokens=False)])[["n"]]
+
+    return texts.select(column).mapInPandas(run, "n long")
+
+
 def source_counts(sessions: DataFrame) -> DataFrame:
     return sessions.groupBy("source").agg(F.count("*").alias("n"))
 

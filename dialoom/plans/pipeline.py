@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..operators import export, ledger, stages
 from ..operators.gate import gate
 from ..operators.schema import SESSIONS, UTTERANCES, RecordKind
-from ..sources import extractors, formats, sinks, teachers
+from ..sources import extractors, fetch, formats, sinks, teachers
 from . import persona as personas
 from . import prompts
 from .config import ConfigError, Pipeline
@@ -46,7 +46,7 @@ class Run:
         t = self.config.teachers[teacher]
         if t.kind == "fake":
             return teachers.echo
-        endpoint = GROUPS["teachers"].get(t.kind)(t.base_url, t.model, timeout=t.timeout, concurrency=t.concurrency, max_tokens=t.max_tokens, temperature=t.temperature)
+        endpoint = GROUPS["teachers"].get(t.kind)(t.base_url, t.model, timeout=t.timeout, concurrency=t.concurrency, max_tokens=t.max_tokens, temperature=t.temperature, top_p=t.top_p, api_key=t.api_key)
         endpoint.check()
 
         def ask(requests: DataFrame) -> DataFrame:
@@ -83,11 +83,11 @@ def ingest(run: Run) -> dict:
     parts = []
     for name in s.sources:
         source = c.sources[name]
-        if not source.path:
-            LOG.warning("source %s skipped: downloads are not done here", name)
+        path = fetch.fetch(name, c.root / source.path if source.path else None, source.url, c.data_root / "cache", s.download_timeout)
+        if path is None:
             continue
         try:
-            rows = formats.read(run.spark, source.format, str(c.root / source.path), source.fields)
+            rows = formats.read(run.spark, source.format, path, source.fields)
             extract = dict(source.extract)
             kind = extract.pop("kind", "field")
             texts = extractors.extract(rows, kind, source.fields, extract, source.format in formats.JSON_CELLS)
@@ -194,7 +194,11 @@ def export_(run: Run, name: str | None = None) -> dict:
         part = export.to_messages(final.where(F.col("split") == split), run.persona.system_prompt())
         n = sinks.write_jsonl(part, out / f"{split}.jsonl")
         files[split] = {"records": n, "sha256": sinks.file_sha256(out / f"{split}.jsonl")}
-    report = export.length_report(messages.select(F.char_length("rendered").alias("n")), "n").first().asDict()
+    lengths = export.token_lengths(messages, "rendered", s.tokenizer) if s.tokenizer else None
+    method = "characters" if lengths is None else "tokens"
+    if lengths is None:
+        lengths = messages.select(F.char_length("rendered").alias("n"))
+    report = export.length_report(lengths, "n", method).first().asDict()
     sources = {r["source"]: r["n"] for r in export.source_counts(final).orderBy(F.desc("n"), "source").collect()}
     licenses = {r["source"]: r["licenses"] for r in export.license_sets(final).collect()}
     generators = {r["generator"]: r["n"] for r in export.generator_counts(final).collect()}

@@ -45,13 +45,15 @@ def echo(requests: DataFrame) -> DataFrame:
 class ChatEndpoint:
     """An endpoint that speaks the chat-completions protocol."""
 
-    def __init__(self, base_url: str, model: str, timeout: float = 60.0, retries: int = 2, concurrency: int = 8, max_tokens: int = 512, temperature: float = 0.8):
+    def __init__(self, base_url: str, model: str, timeout: float = 60.0, retries: int = 2, concurrency: int = 8, max_tokens: int = 512, temperature: float = 0.8, top_p: float = 0.95, api_key: str | None = None):
         self.base_url, self.model, self.timeout = base_url.rstrip("/"), model, timeout
         self.retries, self.concurrency, self.max_tokens, self.temperature = retries, concurrency, max_tokens, temperature
+        self.top_p, self.api_key = top_p, api_key
 
     def _call(self, path: str, body: dict | None = None) -> dict:
         data = json.dumps(body).encode() if body is not None else None
-        request = urllib.request.Request(f"{self.base_url}{path}", data, {"Content-Type": "application/json"})
+        headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {self.api_key}"} if self.api_key else {})
+        request = urllib.request.Request(f"{self.base_url}{path}", data, headers)
         with urllib.request.urlopen(request, timeout=self.timeout) as answer:
             return json.load(answer)
 
@@ -66,7 +68,7 @@ class ChatEndpoint:
         messages = [{"role": "system", "content": system}, {"role": "user", "content": user}]
         for attempt in range(self.retries + 1):
             try:
-                got = self._call("/v1/chat/completions", {"model": self.model, "messages": messages, "max_tokens": self.max_tokens, "temperature": self.temperature})
+                got = self._call("/v1/chat/completions", {"model": self.model, "messages": messages, "max_tokens": self.max_tokens, "temperature": self.temperature, "top_p": self.top_p})
                 return got["choices"][0]["message"]["content"].strip(), int(got.get("usage", {}).get("completion_tokens", 0))
             except urllib.error.HTTPError as e:
                 if e.code == 404:
