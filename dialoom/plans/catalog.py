@@ -418,26 +418,26 @@ def extract_field(spark, sf_dir):
 # -- overuse, assembling, export ---------------------------------------------------------
 
 
-def _short_sessions(spark, sf_dir) -> DataFrame:
-    """Sessions whose turns are cut to their first word, so that lines repeat."""
-    df = schema.normalise_sessions(sessions(spark, sf_dir)).drop("_schema_error")
-    first = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), F.substring_index(t["text"], " ", 1).alias("text")))
-    return df.withColumn("turns", first)
+def _document_sessions(spark, sf_dir) -> DataFrame:
+    """Each document as the reply to its source's name; documents repeat, so lines do."""
+    said = lambda role, x: F.struct(F.lit(role).alias("role"), x.alias("text"))
+    d = _table(spark, sf_dir, "documents")
+    return d.select(F.col("doc_id").alias("_pos"), F.array(said("user", F.col("source")), said("assistant", F.col("text"))).alias("turns"))
 
 
-_LINES = f"WITH {_SESSIONS}, lines AS (SELECT conv_id, i, split_part(turns[i].text, ' ', 1) AS t FROM s1, unnest(range(1, len(turns) + 1)) u(i) WHERE turns[i].role = 'assistant'), ranked AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY conv_id, i) AS r FROM lines)"
+_LINES = "WITH ranked AS (SELECT doc_id, row_number() OVER (PARTITION BY text ORDER BY doc_id) AS r FROM documents)"
 
 
-@query("overuse_running_count", f"{_LINES} SELECT conv_id AS pos, (i - 1)::INTEGER AS turn, r::INTEGER AS occurrence FROM ranked")
+@query("overuse_running_count", f"{_LINES} SELECT doc_id AS pos, 1::INTEGER AS turn, r::INTEGER AS occurrence FROM ranked")
 def overuse_running_count(spark, sf_dir):
-    lines = stages.assistant_lines(_short_sessions(spark, sf_dir))
+    lines = stages.assistant_lines(_document_sessions(spark, sf_dir))
     order = Window.partitionBy("text").orderBy("_pos", "_turn")
     return lines.select(F.col("_pos").alias("pos"), F.col("_turn").alias("turn"), F.row_number().over(order).alias("occurrence"))
 
 
-@query("overuse_session_drop", f"{_LINES} SELECT DISTINCT conv_id AS pos FROM ranked WHERE r > 3")
+@query("overuse_session_drop", f"{_LINES} SELECT doc_id AS pos FROM ranked WHERE r > 2")
 def overuse_session_drop(spark, sf_dir):
-    return stages.overused(_short_sessions(spark, sf_dir), 3).select(F.col("_pos").alias("pos"))
+    return stages.overused(_document_sessions(spark, sf_dir), 2).select(F.col("_pos").alias("pos"))
 
 
 RATIOS = {"a": 0.55, "b": 0.25, "c": 0.2}
@@ -611,11 +611,11 @@ def reply_text_values(spark, sf_dir):
 
 @query(
     "respond_join_provenance",
-    f"""WITH n AS (SELECT doc_id, source, {_collapse("text")} AS t FROM documents WHERE lang <> 'fr')
+    f"""WITH n AS (SELECT doc_id, source, {_collapse("text")} AS t FROM documents)
 SELECT 'respond-' || doc_id AS id, 'source:' || source AS scenario, source AS source_dataset, t AS said, '같이 놀자, ' || length(t) || '번째 말이야.' AS reply FROM n""",
 )
 def respond_join_provenance(spark, sf_dir):
-    df = text.normalise_column(utterances(spark, sf_dir).where("language <> 'fr'"), "text")
+    df = text.normalise_column(utterances(spark, sf_dir), "text")
     answers = teachers.echo(df.select(F.col("id").alias("key"), F.lit("").alias("system"), F.col("text").alias("user")))
     out = stages.response_sessions(df, answers, "echo")
     return out.select("id", "scenario", "source_dataset", F.get("turns", F.lit(0))["text"].alias("said"), F.get("turns", F.lit(1))["text"].alias("reply"))
