@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 #: Aim for this many rows in a bucket; beyond MAX_BUCKETS buckets grow instead (sorts spill).
-BUCKET_ROWS = 2048
+BUCKET_ROWS = 512
 MAX_BUCKETS = 65_536
 
 
