@@ -14,12 +14,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every node gives its larger neighbours its least neighbour (or itself)."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("_m")).select(F.col("u").alias("_u"), F.least("u", "_m").alias("m"))
+    # written before the join, which adaptive execution can then split at a node with very many edges
+    least = materialise(least, "cc-least")
     return both.where("v > u").join(least, F.col("u") == F.col("_u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node gives its smaller neighbours, and itself, the least of them. Edges point to the smaller end."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), "m")
+    least = materialise(edges.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("_u"), "m"), "cc-least")
     moved = edges.join(least, F.col("u") == F.col("_u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select(F.col("_u").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
 
