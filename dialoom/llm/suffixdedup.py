@@ -274,6 +274,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     contexts = materialise(contexts, "suffix-contexts")
     several = contexts.groupBy("h").agg(F.count("*").alias("_m"), F.min("n").alias("_least"))
     several = several.where("_m > 1 and _least = 1").select(F.col("h").alias("_h"), F.expr(f"cast(ceil(_m / {BLOCK}) as int)").alias("blocks"))
+    several = materialise(several, "suffix-several")
     wanted = contexts.join(several, F.col("h") == F.col("_h"))
     wanted = wanted.groupBy(F.col("one.doc_id").alias("_doc"), F.col("one.t").alias("_t")).agg(
         F.collect_list(F.struct(F.col("one.pos").alias("pos"), "h", "c", "n", "blocks")).alias("wanted")
