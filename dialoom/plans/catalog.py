@@ -182,7 +182,7 @@ _SAID = f"said AS (SELECT conv_id, turn, {_collapse('text')} AS t FROM conversat
 _DOCS = "said AS (SELECT doc_id AS conv_id, 0 AS turn, text AS t FROM documents)"
 
 
-def _turn_rule(name: str, rule: rules.Rule, test_sql: str, source: str = "conversations") -> None:
+def _turn_rule(name: str, rule: rules.Rule, test_sql: str | None, source: str = "conversations") -> None:
     """A rule over single assistant turns (or documents): how many each reason hits, and which."""
     cte = _SAID if source == "conversations" else _DOCS
 
@@ -195,7 +195,8 @@ def _turn_rule(name: str, rule: rules.Rule, test_sql: str, source: str = "conver
         hit = F.array_join(F.array_compact(F.array(*(F.when(test(turns), F.lit(reason)) for reason, test in rule))), ",")
         return df.select("conv_id", F.col("turn").cast("long").alias("turn"), hit.alias("reasons")).where("reasons <> ''")
 
-    query(name, f"WITH {cte}, hits AS (SELECT conv_id, turn::BIGINT AS turn, {test_sql} AS reasons FROM said) SELECT * FROM hits WHERE reasons <> ''")(run)
+    sql = None if test_sql is None else f"WITH {cte}, hits AS (SELECT conv_id, turn::BIGINT AS turn, {test_sql} AS reasons FROM said) SELECT * FROM hits WHERE reasons <> ''"
+    query(name, sql)(run)
 
 
 def _if(cond: str, reason: str) -> str:
@@ -217,8 +218,7 @@ _turn_rule("gate_emoji_documents", rules.RULES["이모지"]("", "금지"), _if(r
 _turn_rule("gate_ellipsis", rules.RULES["말줄임표"]("", "최대 1개"), _if("length(t) - length(replace(t, '…', '')) > 1", "multiple_ellipsis"))
 _turn_rule("gate_role_label_documents", rules.RULES["역할 표기"]("", "금지"), _if(r"regexp_matches(t, '(?i)(^|\s)(U|A|P|사용자|유저|user|assistant|pet)\s*[:：]')", "role_label_in_text"), "documents")
 _turn_rule("gate_ai_claim_documents", rules.RULES["AI 자칭"]("", "금지"), _if(r"regexp_matches(t, 'AI|A\.I\.|인공지능|언어모델|언어 모델|챗봇|챗 봇|프로그램|컴퓨터|모델이야|시스템 프롬프트|학습 데이터|토큰')", "claims_to_be_ai"), "documents")
-_turn_rule("gate_repeat", rules.RULES["반복"]("", "금지"), None and "")  # back-references have no DuckDB form
-ORACLE_SQL.pop("gate_repeat", None)
+_turn_rule("gate_repeat", rules.RULES["반복"]("", "금지"), None)  # back-references have no DuckDB form
 
 
 @query(
@@ -248,7 +248,7 @@ def gate_structure(spark, sf_dir):
 
 _KOREAN = [
     "안녕하세요", "응, 나도 좋아", "배고파. 밥 줘", "그렇습니다.", "네.", "재밌네", "같이 가요", "놀자놀자놀자", "정말 정말 좋아",
-    "몽글이는 졸려", "몽글이 왔어", "나몽 글몽", "좋아… 정말… 응", "너는 챗봇이야?", "U: 안녕", "**강조** 해", "漢字를 써", "ひらがな", "hello there", "음…", "오호, 네!",
+    "초롱이는 졸려", "초롱이 왔어", "나초 롱초", "좋아… 정말… 응", "너는 챗봇이야?", "U: 안녕", "**강조** 해", "漢字를 써", "ひらがな", "hello there", "음…", "오호, 네!",
 ]
 
 
@@ -261,8 +261,8 @@ _TRAIL = r"""[.!?~…\s"'”’)\]]*$""".replace("'", "''")
 _KOREAN_TESTS = {
     "gate_register_informal": ("말투", "반말", r"regexp_matches(t, '(요[.!?~…]?$|요\s|습니다|입니다|세요|십시오|하십|드립니다|드려요|예요|이에요)')"),
     "gate_register_honorific": ("말투", "존댓말", rf"NOT (regexp_matches(trim(t), '(?:{_POLITE}){_TRAIL}') OR regexp_matches(trim(t), '^{rules.INTERJECTION}(?:[\s,·…]*{rules.INTERJECTION})*{_TRAIL}'))"),
-    "gate_name_suffix": ("이름 어미", "금지", "len(list_filter(regexp_extract_all(t, '[가-힣]+'), lambda w: length(w) >= 2 AND contains('몽글', right(w, 1)) AND NOT starts_with(w, '몽글'))) > 0"),
-    "gate_third_person": ("3인칭 자칭", "금지", r"regexp_matches(t, '^몽글(이|이가|은|는|도|이도)([^\p{L}\p{N}_]|$)')"),
+    "gate_name_suffix": ("이름 어미", "금지", "len(list_filter(regexp_extract_all(t, '[가-힣]+'), lambda w: length(w) >= 2 AND contains('초롱', right(w, 1)) AND NOT starts_with(w, '초롱'))) > 0"),
+    "gate_third_person": ("3인칭 자칭", "금지", r"regexp_matches(t, '^초롱(이|이가|은|는|도|이도)([^\p{L}\p{N}_]|$)')"),
     "gate_ellipsis_korean": ("말줄임표", "최대 1개", "length(t) - length(replace(t, '…', '')) > 1"),
     "gate_cjk_kana": ("문자", "영문", r"regexp_matches(t, '[가-힣\x{4e00}-\x{9fff}\x{3040}-\x{30ff}]')"),
 }
@@ -271,7 +271,7 @@ for _name, (_key, _value, _sql) in _KOREAN_TESTS.items():
     def _run(spark, sf_dir, key=_key, value=_value):
         df = spark.createDataFrame(list(enumerate(_KOREAN)), "k int, t string")
         turns = F.array(F.struct(F.lit("assistant").alias("role"), F.col("t").alias("text")))
-        tests = rules.RULES[key]("몽글", value)
+        tests = rules.RULES[key]("초롱", value)
         hit = F.lit(False)
         for _, test in tests:
             hit = hit | test(turns)
