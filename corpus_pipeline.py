@@ -15,6 +15,11 @@ from dialoom.llm.common import materialise, table
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+#: Factors of the domains' present shares of tokens: poor text loses a fifth, toxic-looking text half,
+#: and good text fills up. Fixed shares would ask for toxic text that an earlier stage has taken out.
+MIX_FACTORS = (1.0, 0.8, 0.5, 0.5)
+
+
 def _documents(df: DataFrame) -> DataFrame:
     return df.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -51,7 +56,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row appears as often as its rate, rounded by a seeded draw, says."""
     rows = materialise(_documents(docs).withColumn("row", F.monotonically_increasing_id()), "pipeline-mix")
-    rated = mixing.mix(rows, table(spark, sf_dir, "labels")).where("copies > 0")
+    rated = mixing.mix(rows, table(spark, sf_dir, "labels"), MIX_FACTORS, relative=True).where("copies > 0")
     times = rated.select(F.col("row").alias("_row"), "copies")
     out = rows.join(times, F.col("row") == F.col("_row")).withColumn("_copy", F.explode(F.expr("sequence(1, copies)")))
     return out.select(*COLUMNS)

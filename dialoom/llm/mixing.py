@@ -155,15 +155,15 @@ def _total(member: DataFrame, fn) -> np.ndarray:
     return out
 
 
-def solve_rates(member: DataFrame, weights: tuple[float, ...], steps: int = STEPS, tolerance: float = TOLERANCE) -> tuple[list[tuple[float, np.ndarray]], np.ndarray, np.ndarray]:
+def solve_rates(member: DataFrame, weights: tuple[float, ...], steps: int = STEPS, tolerance: float = TOLERANCE, relative: bool = False) -> tuple[list[tuple[float, np.ndarray]], np.ndarray, np.ndarray]:
     """Steps of the descent (momentum and vector), expected totals after them, and the targets."""
     k = len(weights)
-    share = np.array(weights) / sum(weights)
     first = _total(member, lambda t, p: np.concatenate([t @ p, ((p * t[:, None]).T @ p).ravel()]))
     if not len(first) or first[:k].sum() <= 0:
         return [], np.zeros(k), np.zeros(k)
     now, gram = first[:k], first[k:].reshape(k, k)
-    target = share * now.sum()
+    share = np.array(weights) * (now if relative else 1.0)
+    target = share / share.sum() * now.sum()
     scale = np.sqrt(1 / np.maximum(target, 1e-9))
     rate = 1 / np.linalg.eigvalsh(scale[:, None] * gram * scale).max()
     done: list[tuple[float, np.ndarray]] = []
@@ -187,15 +187,16 @@ def solve_rates(member: DataFrame, weights: tuple[float, ...], steps: int = STEP
 RATED = struct_of("doc_id long, row long, tokens long, domain string, posterior array<double>, rate double")
 
 
-def mix(docs: DataFrame, labels: DataFrame, weights: tuple[float, ...] = TARGET_WEIGHTS) -> DataFrame:
+def mix(docs: DataFrame, labels: DataFrame, weights: tuple[float, ...] = TARGET_WEIGHTS, relative: bool = False) -> DataFrame:
     """``doc_id, row, tokens, domain, posterior, rate, copies`` of every row of ``docs`` (doc_id, row, text).
 
+    ``weights`` are the domains' shares of the tokens or, if ``relative``, factors of their present shares.
     ``copies`` is the rate rounded down or up by a seeded hash of the row, so that its expectation is the
     rate. Null and empty texts have no tokens and get the rate of their posterior; repeated rows are rated
     alike; with an empty table there is no row; with no usable label all domains are equally likely.
     """
     member = materialise(memberships(docs, fit(docs, labels)), "mix-members")
-    steps, _, _ = solve_rates(member, weights)
+    steps, _, _ = solve_rates(member, weights, relative=relative)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         _, p = _matrix(batch)
