@@ -2,17 +2,20 @@
 
 A classifier learned from the labelled table gives every document a probability for each domain. With
 ``t`` tokens and posterior ``p``, a document kept at rate ``r`` adds ``r * t * p[d]`` expected tokens to
-domain ``d``. The rates are the non-negative ones, started at 1, that projected gradient descent finds
-for the least squares ``sum_d (expected[d] - target[d])**2 / target[d]``. Steps are taken in the metric
-of the documents' tokens and with momentum, so the rate of a document only depends on its posterior and
-on one vector of as many numbers as there are domains per step: each step is one distributed sum, and no
-rate is ever stored or sent to the driver.
+domain ``d``. The rates are the non-negative ones nearest to 1, in the metric of the documents' tokens,
+whose expected totals are the targets; where no rates meet them, those of the least squares
+``sum_d (expected[d] - target[d])**2 / target[d]``. They have the form ``max(0, 1 + p . dual)`` with one
+vector of as many numbers as there are domains. Newton's method finds it: each step is one distributed
+sum, and no rate is ever stored or sent to the driver. It goes on until every total is within the
+tolerance of its target, or the duality gap proves the sum of squares least (to 1e-3 of it at worst),
+which warns; it raises if neither is reached.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +30,12 @@ DOMAINS = ("good_clean", "poor_clean", "good_toxic", "poor_toxic")
 TARGET_WEIGHTS = (0.90, 0.08, 0.015, 0.005)
 #: Labelled rows to learn from at most, chosen by a hash of the id.
 SAMPLE_ROWS = 8_000
+#: Passes at most, and how far an expected total may be off as a share of its target.
 STEPS, TOLERANCE = 60, 1e-3
+#: Targets below this share of all tokens count as this share when a miss is weighed.
+LEAST_SHARE = 1e-6
+#: Where the weight of the rates' distance from 1 ends; the rounding of numbers bounds it.
+LEAST_WEIGHT = 1e-12
 HASHED = 256
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -133,55 +141,84 @@ def _matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return batch.column("tokens").to_numpy().astype(float), p
 
 
-def _rates(p: np.ndarray, steps: list[tuple[float, np.ndarray]]) -> np.ndarray:
-    """Rates after the steps: each looks ahead by its momentum, then goes down the gradient, not below zero."""
-    r = before = np.ones(len(p))
-    for momentum, s in steps:
-        r, before = np.maximum(0.0, r + momentum * (r - before) - p @ s), r
-    return r
+def _rates(p: np.ndarray, dual: np.ndarray) -> np.ndarray:
+    return np.maximum(0.0, 1.0 + p @ dual)
 
 
-def _total(member: DataFrame, fn) -> np.ndarray:
-    """Sum of a vector that ``fn`` makes of each batch, added up on the executors."""
+def _total(member: DataFrame, fn) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and maximum of a vector that ``fn`` makes of each batch, found on the executors."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([fn(*_matrix(batch)).ravel().tolist()], pa.list_(pa.float64()))], schema=arrow_schema(SUMS))
 
     parts = map_arrow(member.select("tokens", "posterior"), run, SUMS)
-    rows = parts.select(F.posexplode("value").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v")).collect()  # one row a number of the vector
-    out = np.zeros(max((r["k"] for r in rows), default=-1) + 1)
-    for r in rows:
-        out[r["k"]] = r["v"]
-    return out
+    rows = parts.select(F.posexplode("value").alias("k", "v")).groupBy("k").agg(F.sum("v").alias("v"), F.max("v").alias("most")).collect()  # one row a number of the vector
+    rows.sort(key=lambda r: r["k"])
+    return np.array([r["v"] for r in rows]), np.array([r["most"] for r in rows])
 
 
-def solve_rates(member: DataFrame, weights: tuple[float, ...], steps: int = STEPS, tolerance: float = TOLERANCE, relative: bool = False) -> tuple[list[tuple[float, np.ndarray]], np.ndarray, np.ndarray]:
-    """Steps of the descent (momentum and vector), expected totals after them, and the targets."""
+def _measure(member: DataFrame, dual: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """At these rates: expected totals, their derivative, and the largest ``p . dual`` of a document with tokens."""
+    k = len(dual)
+
+    def fn(t: np.ndarray, p: np.ndarray) -> np.ndarray:
+        r = _rates(p, dual)
+        return np.concatenate([(t * r) @ p, ((p * (t * (r > 0))[:, None]).T @ p).ravel(), [np.max(p @ dual, initial=-math.inf, where=t > 0)]])
+
+    sums, most = _total(member, fn)
+    if not len(sums):
+        return np.zeros(k), np.zeros((k, k)), 0.0
+    return sums[:k], sums[k : k + k * k].reshape(k, k), float(most[-1])
+
+
+def solve_rates(member: DataFrame, weights: tuple[float, ...], steps: int = STEPS, tolerance: float = TOLERANCE, relative: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vector that gives the rates, expected totals at these rates, and the targets.
+
+    Warns if no rates meet the targets; raises if ``steps`` passes settle neither.
+    """
     k = len(weights)
-    first = _total(member, lambda t, p: np.concatenate([t @ p, ((p * t[:, None]).T @ p).ravel()]))
-    if not len(first) or first[:k].sum() <= 0:
-        return [], np.zeros(k), np.zeros(k)
-    now, gram = first[:k], first[k:].reshape(k, k)
+    dual = np.zeros(k)
+    now, slope, most = _measure(member, dual)
+    n = now.sum()
+    if n <= 0:
+        return dual, np.zeros(k), np.zeros(k)
     share = np.array(weights) * (now if relative else 1.0)
-    target = share / share.sum() * now.sum()
-    scale = np.sqrt(1 / np.maximum(target, 1e-9))
-    rate = 1 / np.linalg.eigvalsh(scale[:, None] * gram * scale).max()
-    done: list[tuple[float, np.ndarray]] = []
-    before, since, loss = now, 0, math.inf
-    floor = np.maximum(target, 1e-9)
-    for _ in range(steps):
-        off = (now - target) / floor
-        if np.abs(off).max() < tolerance:
+    target = share / share.sum()
+    floor = np.maximum(target, LEAST_SHARE)
+    scale = 1 / np.sqrt(floor)
+    now, slope = now / n, slope / n
+    # the dual of: a weight times the squared distance of the rates from 1, plus the least squares
+    weight, passes = 1e-2, 1
+    while True:
+        miss = (now - target) / floor
+        if np.abs(miss).max() < tolerance:
+            break
+        # no rates have a sum of squares below this bound, as p . bound is not negative for any document
+        bound = weight * (max(0.0, most) - dual)
+        squares = 0.5 * (floor * miss * miss).sum()
+        if squares + 0.5 * (floor * bound * bound).sum() + bound @ target <= max(0.5 * tolerance**2 * floor.min(), (tolerance**2 if weight > LEAST_WEIGHT else tolerance) * squares):
+            warnings.warn(f"no rates meet the targets {(target * n).tolist()}; the nearest expected totals are {(now * n).tolist()}", stacklevel=2)
             break
-        if (fresh := float(((now - target) ** 2 / floor).sum())) > loss:
-            since, before = 0, now  # momentum overshot: start it anew
-        loss = fresh
-        momentum = since / (since + 3)
-        ahead = now + momentum * (now - before)  # expected totals are linear in the rates
-        done.append((momentum, rate * (ahead - target) / floor))
-        before, since = now, since + 1
-        now = _total(member, lambda t, p, done=tuple(done): (t * _rates(p, list(done))) @ p)
-    return done, now, target
+        slant = now - target + weight * floor * dual
+        if math.sqrt((slant * slant / floor).sum()) < 0.1 * math.sqrt((floor * miss * miss).sum()):
+            weight = max(weight / 10, LEAST_WEIGHT)
+            slant = now - target + weight * floor * dual
+        way = -scale * np.linalg.solve(scale[:, None] * slope * scale + weight * np.eye(k), scale * slant)
+        length = 1.0
+        while True:
+            if passes >= steps:
+                raise RuntimeError(f"rates not settled after {steps} passes: expected totals {(now * n).tolist()}, targets {(target * n).tolist()}")
+            ahead = dual + length * way
+            now, slope, most = _measure(member, ahead)
+            passes += 1
+            now, slope = now / n, slope / n
+            # convex: uphill at the end of the step means that it went too far; its slope has no cancellation, unlike its value
+            uphill, downhill = (now - target + weight * floor * ahead) @ way, -(slant @ way)
+            if uphill <= 0.5 * downhill:
+                break
+            length *= max(0.1, downhill / (downhill + uphill))
+        dual = ahead
+    return dual, now * n, target * n
 
 
 RATED = struct_of("doc_id long, row long, tokens long, domain string, posterior array<double>, rate double")
@@ -196,12 +233,12 @@ def mix(docs: DataFrame, labels: DataFrame, weights: tuple[float, ...] = TARGET_
     alike; with an empty table there is no row; with no usable label all domains are equally likely.
     """
     member = materialise(memberships(docs, fit(docs, labels)), "mix-members")
-    steps, _, _ = solve_rates(member, weights, relative=relative)
+    dual, _, _ = solve_rates(member, weights, relative=relative)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         _, p = _matrix(batch)
         names = pa.array([DOMAINS[k] for k in p.argmax(axis=1)])
-        cols = [*(batch.column(c) for c in ("doc_id", "row", "tokens")), names, batch.column("posterior"), pa.array(_rates(p, steps))]
+        cols = [*(batch.column(c) for c in ("doc_id", "row", "tokens")), names, batch.column("posterior"), pa.array(_rates(p, dual))]
         return pa.RecordBatch.from_arrays(cols, schema=arrow_schema(RATED))
 
     draw = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit(41)), F.lit(1 << 30)) / F.lit(float(1 << 30))

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from dialoom.llm import mixing
@@ -39,3 +40,26 @@ def test_edges(spark):
     rows = mixing.mix(df, none).collect()
     assert len(rows) == len(edge_texts()) and all(r["rate"] >= 0 for r in rows)
     assert mixing.mix(df.limit(0), none).count() == 0
+
+
+def test_defaults_meet_each_target_of_soft_posteriors(spark):
+    rng = np.random.default_rng(4)
+    domain = rng.choice(4, 4000, p=[0.3, 0.65, 0.03, 0.02])
+    z = rng.normal(0, 1, (4000, 4)) - 1
+    z[np.arange(4000), domain] += 2
+    p = np.exp(z) / np.exp(z).sum(axis=1, keepdims=True)
+    t = np.rint(rng.lognormal(4, 1, 4000)).astype(int)
+    member = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(t, p)], "tokens long, posterior array<double>")
+    dual, total, target = mixing.solve_rates(member, mixing.TARGET_WEIGHTS)
+    assert np.allclose((t * mixing._rates(p, dual)) @ p, total)
+    assert np.abs(total / target - 1).max() < mixing.TOLERANCE
+
+
+def test_targets_out_of_reach_are_reported(spark):
+    member = spark.createDataFrame([(5, [0.7, 0.1, 0.1, 0.1]), (0, [0.0, 1.0, 0.0, 0.0])], "tokens long, posterior array<double>")
+    with pytest.warns(UserWarning, match="no rates meet the targets"):
+        _, total, target = mixing.solve_rates(member, mixing.TARGET_WEIGHTS)
+    p = np.array([0.7, 0.1, 0.1, 0.1])
+    assert np.allclose(total, p / (p * p / target).sum(), rtol=1e-3)  # least squares along the only direction
+    with pytest.raises(RuntimeError, match="not settled"):
+        mixing.solve_rates(member, mixing.TARGET_WEIGHTS, steps=2)
