@@ -39,11 +39,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near duplicates (five words, similarity 0.8) the document with the least id stays."""
-    groups = minhash.near_duplicates(docs, percent=80).where("kept and doc_id is not null").select(F.col("doc_id").alias("_kept")).distinct()
-    # a row without an id has no group to belong to and stays
-    rows = _documents(docs)
-    return rows.join(groups, F.col("doc_id") == F.col("_kept"), "left_semi").unionByName(rows.where("doc_id is null"))
+    """Of every group of near duplicates (five words, similarity 0.8) one row stays, that with the least id.
+
+    Rows are compared one by one: repeated rows of one id and rows without an id are copies like any other,
+    and an id goes before none. Rows without words are in no group.
+    """
+    rows = materialise(_documents(docs).withColumn("_row", F.monotonically_increasing_id()), "pipeline-near")
+    groups = minhash.near_duplicates(rows, percent=80, id_col="_row").select(F.col("doc_id").alias("_key"), "component_id")
+    ids = rows.select("_row", "doc_id").join(groups, F.col("_row") == F.col("_key"))
+    first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first"))
+    kept = first.select(F.col("first._row").alias("_kept"))
+    return rows.join(kept, F.col("_row") == F.col("_kept"), "left_semi").select(*COLUMNS)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

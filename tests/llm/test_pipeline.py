@@ -1,10 +1,12 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from dialoom.llm import bestfit, minhash, suffixdedup, toxicity
 from dialoom.llm.common import table
 
-from .helpers import documents, edge_texts
+from .helpers import DOCS, documents, edge_texts, rng, words
 from .test_suffixdedup import brute
 
 DIR = "/root/testdata/sf0.01"
@@ -40,3 +42,17 @@ def test_edge_tables(spark):
     for _, stage in corpus_pipeline.STAGES:
         stage(spark, docs, DIR).collect()
         assert stage(spark, docs.limit(0), DIR).count() == 0
+
+
+def test_one_row_of_copies_stays(spark):
+    random = rng(5)
+    long, other, lone = (words(random, 80) for _ in range(3))
+    near = long + " one more"
+    rows = [(7, long), (7, long), (None, long), (3, near), (None, other), (None, other), (5, lone), (5, other + " " + lone), (None, None), (9, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in rows], DOCS)
+    single = corpus_pipeline.drop_near_duplicates(spark, docs, DIR)
+    got = sorted(((r["doc_id"], r["text"]) for r in single.collect()), key=repr)
+    assert got == sorted([(3, near), (None, other), (5, lone), (5, other + " " + lone), (None, None), (9, "")], key=repr)
+    copies = single.where(F.col("text").isin(near, other))
+    cut = corpus_pipeline.drop_repeated_passages(spark, copies, DIR)
+    assert {r["text"] for r in cut.collect()} == {near, other}
