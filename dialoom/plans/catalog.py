@@ -310,11 +310,12 @@ _SIGNAL = ["th", "er", "io", "ch", "eu", "ci"]
 _STEMS = ["idiot", "moron", "trash"]
 
 
-def _ingest(spark, sf_dir):
+def _ingest(spark, sf_dir, limit: int = 12):
+    """``limit``: texts a source that are sampled and judged, 0 for all."""
     raw = utterances(spark, sf_dir)
     clean = stages.clean_utterances(raw, "en", 20, 2000)
     distinct = stages.distinct_utterances(clean)
-    sampled = stages.sample_sources(distinct, 12, 11)
+    sampled = stages.sample_sources(distinct, limit, 11)
     judged = stages.judge_topics(sampled.withColumn("text", F.lower("text")), _SIGNAL, 20, 1500, 4, _STEMS, LATIN)
     return raw, distinct, sampled, judged
 
@@ -371,6 +372,31 @@ def utterance_records(spark, sf_dir):
     return stages.utterance_records(_ingest(spark, sf_dir)[3]).select("id", F.col("_pos").alias("pos"))
 
 
+#: The same over every distinct text: no sample before the verdicts.
+_EVERY = "samp AS (SELECT * FROM dist)"
+
+
+@query("safety_and_topic_all", f"WITH {_CLEAN}, {_DISTINCT}, {_EVERY}, {_JUDGED} SELECT doc_id::VARCHAR AS id, verdict FROM judged")
+def safety_and_topic_all(spark, sf_dir):
+    return _ingest(spark, sf_dir, 0)[3].select("id", F.col("_verdict").alias("verdict"))
+
+
+@query(
+    "ingest_per_source_stats_all",
+    f"""WITH {_CLEAN}, {_DISTINCT}, {_EVERY}, {_JUDGED}
+SELECT d.source, d.n AS raw, (SELECT count(*) FROM dist x WHERE x.source = d.source) AS "distinct", (SELECT count(*) FROM samp x WHERE x.source = d.source) AS sampled,
+ (SELECT count(*) FROM judged x WHERE x.source = d.source AND verdict = 'in_scope') AS in_scope, (SELECT count(*) FROM judged x WHERE x.source = d.source AND verdict = 'unsafe') AS unsafe,
+ (SELECT count(*) FROM judged x WHERE x.source = d.source AND verdict = 'off_topic') AS off_topic FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1) d""",
+)
+def ingest_per_source_stats_all(spark, sf_dir):
+    return stages.source_stats(*_ingest(spark, sf_dir, 0))
+
+
+@query("utterance_records_all", f"WITH {_CLEAN}, {_DISTINCT}, {_EVERY}, {_JUDGED} SELECT format('{{}}-{{:06d}}', source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) AS id, doc_id AS pos FROM judged WHERE verdict = 'in_scope'")
+def utterance_records_all(spark, sf_dir):
+    return stages.utterance_records(_ingest(spark, sf_dir, 0)[3]).select("id", F.col("_pos").alias("pos"))
+
+
 @query(
     "translate_foreign",
     f"""WITH n AS (SELECT doc_id, lang, {_collapse("text")} AS t FROM documents)
