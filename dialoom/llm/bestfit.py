@@ -266,10 +266,9 @@ def token_pieces(docs: DataFrame, capacity: int, keep_ids: bool = False) -> Data
     out = arrow_schema(schema)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoder = bpe.fast_encoder()
         cols: list[list] = [[] for _ in schema]
         for doc, row, text in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), texts(batch), strict=True):
-            ids = np.append(encoder.encode_to_numpy(text, allowed_special="all"), 0).astype("<u4").tobytes()
+            ids = np.append(bpe.encode(text), 0).astype("<u4").tobytes()
             total = len(ids) // 4
             start, length = 0, total % capacity or min(total, capacity)
             piece = 0
@@ -297,8 +296,9 @@ def pack_documents(docs: DataFrame, capacity: int = 2048) -> DataFrame:
     """Return ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` for every piece.
 
     A document is its text's ids (null or empty: none) followed by id 0; only documents over the
-    capacity are cut. Null ids and repeated rows are packed like others; an empty table gives no rows;
-    columns other than doc_id and text are not read.
+    capacity are cut. Null ids and repeated rows are packed like others, pieces of one length are
+    interchangeable; an empty table gives no rows; columns other than doc_id and text are not read, so
+    names that clash do no harm. Texts may be of any length, white space and single words too.
     """
     if capacity < 1:
         raise ValueError("capacity must be positive")
@@ -338,4 +338,5 @@ def pack_documents(docs: DataFrame, capacity: int = 2048) -> DataFrame:
 
 
 def op3_bestfit_packing(spark, sf_dir: str) -> DataFrame:
+    """``pack_documents`` of ``documents`` into 2,048 tokens; cases as stated there."""
     return pack_documents(table(spark, sf_dir, "documents"))

@@ -77,3 +77,57 @@ def test_repeated_rows_and_empty_table(spark):
     df = documents(spark, ["a b c", "d"])
     assert bestfit.pack_documents(df.union(df), 16).count() == 4
     assert bestfit.pack_documents(df.limit(0), 16).count() == 0
+
+
+def _fewest(lengths, capacity):
+    """The least number of sequences, by trying every place for every length."""
+    best = len(lengths)
+
+    def go(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(lengths):
+            best = len(rooms)
+            return
+        for room in sorted(set(r for r in rooms if r >= lengths[k])):
+            rest = list(rooms)
+            rest.remove(room)
+            go(k + 1, [*rest, room - lengths[k]])
+        go(k + 1, [*rooms, capacity - lengths[k]])
+
+    go(0, [])
+    return best
+
+
+def test_against_the_optimum():
+    rng = random.Random(8)
+    over = 0
+    for _ in range(60):
+        lengths = sorted((rng.randint(5, 70) for _ in range(rng.randint(1, 9))), reverse=True)
+        fewest, got = _fewest(lengths, 100), bestfit.pack_histogram(dict(Counter(lengths)), 100).sequences
+        assert fewest <= got <= fewest + 1
+        over += got - fewest
+    assert over <= 3
+
+
+def test_whole_table_and_very_long_texts(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r["doc_id"]: r["text"] or "" for r in df.collect()}
+    texts |= {-1: " " * 2_000_000, -2: "x" + "\n" * 300_000 + "y", -3: "ab" * 300_000}
+    more = spark.createDataFrame([(k, texts[k]) for k in (-1, -2, -3)], "doc_id long, text string")
+    rows = bestfit.pack_documents(df.select("doc_id", "text").union(more)).collect()
+    pieces = {}
+    for r in rows:
+        pieces.setdefault(r["doc_id"], []).append(r)
+    assert pieces.keys() == texts.keys()
+    for k, t in texts.items():
+        ids = [*bpe.library().encode(t, add_special_tokens=False).ids, 0]
+        got = sorted(pieces[k], key=lambda r: r["piece"])
+        assert [r["start"] for r in got] == [sum(r["length"] for r in got[:n]) for n in range(len(got))]
+        assert sum(r["length"] for r in got) == len(ids)
+        for r in got:
+            part = ids[r["start"] : r["start"] + r["length"]]
+            assert r["ids_crc32"] == zlib.crc32(struct.pack(f"<{len(part)}I", *part))
+    least = -(-sum(r["length"] for r in rows) // 2048)
+    assert len({r["sequence_id"] for r in rows}) <= least + 1
