@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import functools
 import re
+from array import array
 from bisect import bisect_right
 from itertools import accumulate
 
@@ -31,8 +32,11 @@ from .common import arrow_schema, map_arrow, struct_of, table, texts
 SAFE_BELOW = "\u0558"
 _UNSAFE = re.compile(f"[{SAFE_BELOW}-\U0010ffff]")
 _CONTRACTION = re.compile(r"'(?:s|t|re|ve|m|ll|d)\Z")
-#: Entries of each table that a worker keeps over texts (some 100 bytes an entry); a full one is emptied.
+#: Entries of each table that a worker keeps over texts; a full one is emptied. Keys have LONG bytes at most
+#: (pairs of tokens: twice the longest token), so a table stays below some 200 MB.
 CACHE_ENTRIES = 800_000
+#: Pre-tokens over this many bytes are counted in two arrays of their own, without entering any table.
+LONG = 64
 
 
 class PrefixCounter:
@@ -51,6 +55,7 @@ class PrefixCounter:
         self._fits: dict[tuple[bytes, bytes], bool] = {}
         self._totals: dict[str, int] = {}
         self._prefix: dict[bytes, tuple[int, bytes]] = {}
+        self._ends = None
 
     def _merge(self, piece: bytes, below: int = 1 << 60) -> list[bytes]:
         """BPE by its definition, the lowest-ranked neighbouring pair first, with the merges that rank below."""
@@ -101,11 +106,42 @@ class PrefixCounter:
 
     def piece_counts(self, piece: bytes) -> list[int]:
         """``counts[i]``: tokens of the first ``i`` bytes of one pre-token, for i from 0."""
+        if len(piece) > LONG:
+            return self._long(piece).tolist()
         self._reach(piece)
         return [0, *(self._prefix[piece[:i]][0] for i in range(1, len(piece) + 1))]
 
+    def _long(self, piece: bytes) -> array:
+        """The counts of a long pre-token: for each end the count and where the last token starts, four bytes each.
+
+        An automaton of the vocabulary names the tokens that end at each byte, so the work grows with the
+        length alone.
+        """
+        if self._ends is None:
+            import ahocorasick
+
+            self._ends = ahocorasick.Automaton()
+            for token in self.ranks:
+                self._ends.add_word(token.decode("latin-1"), len(token))
+            self._ends.make_automaton()
+        n, fits, compatible = len(piece), self._fits, self._compatible
+        counts, starts = array("i", bytes(4 * (n + 1))), array("i", bytes(4 * (n + 1)))
+        done = 0
+        for last, size in self._ends.iter(piece.decode("latin-1")):
+            end, start = last + 1, last + 1 - size
+            if end == done:
+                continue
+            if start:
+                before, token = piece[starts[start] : start], piece[start:end]
+                if not (k if (k := fits.get((before, token))) is not None else compatible(before, token)):
+                    continue
+            counts[end], starts[end], done = counts[start] + 1, start, end
+        return counts
+
     def _reach(self, piece: bytes) -> int:
         """Fill the table of prefixes up to the whole piece; what other pre-tokens began with is there already."""
+        if len(piece) > LONG:
+            return self._long(piece)[-1]
         table, ranks, fits, compatible = self._prefix, self.ranks, self._fits, self._compatible
         if len(table) >= CACHE_ENTRIES:
             table.clear()
@@ -139,6 +175,8 @@ class PrefixCounter:
 
     def _total(self, piece: str) -> int:
         n = 1 if piece == self.special else self._reach(piece.encode())
+        if len(piece) > LONG:
+            return n
         if len(self._totals) >= CACHE_ENTRIES:
             self._totals.clear()
         self._totals[piece] = n
@@ -215,7 +253,8 @@ def count_tokens(docs: DataFrame, limit: int = 1024, id_col: str = "doc_id", tex
 
     ``over_limit`` says that the text has more than ``limit`` tokens; ``fitting_chars`` is the longest
     start of the text, in whole pre-tokens, that keeps to it. Null and empty texts have no token. Repeated rows
-    are answered each; an empty table gives none; other columns are not read.
+    are answered each; an empty table gives none; other columns are not read, so names that clash do no harm.
+    Time and memory grow with a text's length, also where it is one single word.
     """
     out = arrow_schema(TOKEN_COUNTS)
 
@@ -236,4 +275,5 @@ def count_tokens(docs: DataFrame, limit: int = 1024, id_col: str = "doc_id", tex
 
 
 def op6_token_counts(spark, sf_dir: str) -> DataFrame:
+    """``count_tokens`` of ``documents`` with the limit of 1,024 tokens; cases as stated there."""
     return count_tokens(table(spark, sf_dir, "documents"))

@@ -1,3 +1,6 @@
+import random
+import tracemalloc
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -33,6 +36,33 @@ def test_budget():
         assert c.total(text[:n]) <= budget and (n == len(text) or c.prefix_counts(text)[n] >= budget)
 
 
+def test_long_single_words():
+    rng = random.Random(4)
+    c, encode = tokencount.counter(), bpe.library().encode
+    for letters in ("etaoinshr", "ab", "東京都é😀", "0123456789", "=-+", " ", "\n"):
+        text = "".join(rng.choice(letters) for _ in range(700))
+        assert c.total(text) == len(encode(text, add_special_tokens=False).ids)
+        want = [len(encode(text[:i], add_special_tokens=False).ids) for i in range(0, 701, 7)]
+        assert c.prefix_counts(text)[::7].tolist() == want
+    tracemalloc.start()
+    text = "".join(rng.choice("etaoinshrdlu") for _ in range(1_000_000))
+    n = c.total(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == len(encode(text, add_special_tokens=False).ids) and peak < 500e6
+
+
+def test_very_long_white_space():
+    encode = bpe.library().encode
+    for head in ("", "a", "<|endoftext|>", "a\n"):
+        for run in (" " * 10_000, "\n" * 10_001, "\u3000" * 12_000, " \t" * 6_000):
+            for tail in ("", "x", " x", "!", "<|endoftext|>y", "'s"):
+                text = head + run + tail
+                ids = encode(text, add_special_tokens=False).ids
+                assert bpe.encode(text).tolist() == ids and tokencount.counter().total(text) == len(ids)
+    assert len(bpe.encode(" " * 2_000_000)) == tokencount.counter().total(" " * 2_000_000) == 2_000_000
+
+
 def test_rows(spark):
     texts = edge_texts()
     rows = {r["doc_id"]: r for r in tokencount.count_tokens(documents(spark, texts, extra=True), limit=10).collect()}
