@@ -4,29 +4,34 @@ Rows of each source are ranked in a seeded shuffle, all rows are ordered by the
 ``(2 * rank - 1) / (2 * rows of the source)``, and the order is cut into shards of equal row counts,
 so every shard holds each source in its share of the whole, up to one row a source.
 
-Neither ranking uses a window over a whole source or over all rows: the shuffle key is uniform, so it
-is cut into buckets of about ``bucket_rows`` rows, a small table of bucket counts gives each bucket's
-first rank, and windows only number the rows inside one bucket. A source with a third of all rows is
-spread over as many buckets as its share asks for.
+Neither ranking uses a window over a whole source or over all rows. Rows are dealt by range of the whole
+sort key, row number last, so parts are even whatever ties or repeats there are: one source with a third
+of all rows, a million sources of one row each, ids that are null. Windows number the rows of one part; a
+small table of part counts gives each part's first rank.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import discard, materialise
 
-#: Aim for this many rows in a bucket; beyond MAX_BUCKETS buckets grow instead (sorts spill).
-BUCKET_ROWS = 512
-MAX_BUCKETS = 65_536
+#: Aim for this many rows in a part; beyond MAX_PARTS parts grow instead (sorts spill).
+PART_ROWS = 4096
+MAX_PARTS = 20_000
 
 
-def _uniform(seed: int, *columns: F.Column) -> F.Column:
+def _uniform(seed: int, *columns: Column) -> Column:
     """A 32-bit uniform number (as long) from the seed and the columns."""
     return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *columns).cast("binary")), 1, 8), 16, 10).cast("long")
 
 
+def _parted(rows: DataFrame, parts: int, order: list[str], name: str) -> DataFrame:
+    """The rows with ``_part``, parts following each other in the order; written, since a second look could differ."""
+    return materialise(rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), name)
+
+
 def interleave_shards(
     docs: DataFrame,
     n_shards: int,
@@ -34,58 +39,55 @@ def interleave_shards(
     id_col: str = "doc_id",
     source_col: str = "source",
     text_col: str = "text",
-    bucket_rows: int = BUCKET_ROWS,
+    bucket_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Return ``doc_id, source, size, text_crc32, fraction, shard, slot`` for every row of ``docs``.
 
     ``size`` is the UTF-8 bytes of the text (null: none) plus 16. Shard counts differ by one at most;
     ``slot`` counts from 0 inside a shard. Null sources form one source of their own, null ids sort
     first, null texts count as empty, repeated rows each get a place, an empty table gives no rows.
-    Only the three named columns are read, so further columns of any name do not matter.
+    Equal fractions follow each other by source, then id, then text. Texts are only measured, whole.
+    Only the three named columns are read, so further columns of any name do not matter. ``bucket_rows`` is
+    how many rows a part aims for; it has no influence on the result.
     """
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
-    total = docs.count()
-    buckets = max(1, min(MAX_BUCKETS, -(-total // bucket_rows)))
     key = F.when(F.col(source_col).isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), F.col(source_col).cast("string")))
     uniform = _uniform(seed, F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
-    place = F.floor(uniform * F.lit(buckets) / F.lit(float(2**32))).cast("long")
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         key.alias("_key"),
         uniform.alias("_u"),
-        place.alias("_bucket"),
-        F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("_bytes"),
-        F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32"),
+        F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("_bytes"),
+        F.crc32(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")).alias("text_crc32"),
     )
-    counts = docs.select(key.alias("_key"), place.alias("_bucket")).groupBy("_key", "_bucket").agg(F.count("*").alias("_n"))
-    by_source = Window.partitionBy("_key")
-    firsts = counts.select(
-        "_key",
-        "_bucket",
-        (F.sum("_n").over(by_source.orderBy("_bucket")) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(by_source).alias("_of"),
-    )
-    in_bucket = Window.partitionBy("_key", "_bucket").orderBy("_u", "doc_id", "text_crc32", "_bytes")
+    # all that the texts are needed for; what is alike in every column is interchangeable, the number only splits it
+    rows = materialise(rows.withColumn("_row", F.monotonically_increasing_id()), "interleave-rows")
+    total = rows.count()
+    parts = max(1, min(MAX_PARTS, -(-total // bucket_rows)))
+    shuffled = ["_u", "doc_id", "text_crc32", "_bytes", "_row"]
+    by_key = _parted(rows, parts, ["_key", *shuffled], "interleave-by-key")
+    discard(rows)
+    counts = by_key.groupBy("_key", "_part").agg(F.count("*").alias("_n"))
+    of_key = Window.partitionBy("_key")  # a row a part
+    firsts = counts.select("_key", "_part", (F.sum("_n").over(of_key.orderBy("_part")) - F.col("_n")).alias("_before"), F.sum("_n").over(of_key).alias("_of"))
+    inside = F.row_number().over(Window.partitionBy("_key", "_part").orderBy(*shuffled))
     rank = F.col("_before") + F.col("_in")
     fraction = (F.lit(2) * rank - F.lit(1)).cast("double") / (F.lit(2) * F.col("_of")).cast("double")
-    ranked = materialise(
-        rows.withColumn("_in", F.row_number().over(in_bucket))
-        .join(firsts, ["_key", "_bucket"])
-        .select("doc_id", "source", "_key", "_bytes", "text_crc32", fraction.alias("fraction")),
-        "interleave-ranked",
-    )
-    ranked = ranked.withColumn("_cut", F.floor(F.col("fraction") * F.lit(buckets)).cast("long"))
-    cuts = ranked.groupBy("_cut").agg(F.count("*").alias("_n"))
-    # one row a bucket: at most MAX_BUCKETS + 1 rows meet in this window
-    cuts = cuts.select("_cut", (F.sum("_n").over(Window.orderBy("_cut")) - F.col("_n")).alias("_before"))
-    in_cut = Window.partitionBy("_cut").orderBy("fraction", "_key", "doc_id", "text_crc32", "_bytes")
-    position = F.col("_before") + F.col("_at") - F.lit(1)
+    ranked = by_key.withColumn("_in", inside).join(firsts, ["_key", "_part"]).withColumn("fraction", fraction)
+    order = ["fraction", "_key", "doc_id", "text_crc32", "_bytes", "_row"]
+    ranked = ranked.select("source", *order)
+    placed = _parted(ranked, parts, order, "interleave-ranked")
+    discard(by_key)
+    cuts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
+    # one row a part: at most MAX_PARTS rows meet in this window
+    cuts = cuts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    at = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
     return (
-        ranked.withColumn("_at", F.row_number().over(in_cut))
-        .join(cuts, "_cut")
-        .withColumn("_pos", position)
+        placed.withColumn("_at", at)
+        .join(cuts, "_part")
+        .withColumn("_pos", F.col("_before") + F.col("_at") - F.lit(1))
         .withColumn("shard", F.expr(f"_pos * {n_shards} div {max(1, total)}").cast("int"))
         .withColumn("slot", F.col("_pos") - F.expr(f"(shard * {total}L + {n_shards - 1}) div {n_shards}"))
         .select("doc_id", "source", (F.col("_bytes") + F.lit(16)).alias("size"), "text_crc32", "fraction", "shard", "slot")
@@ -96,6 +98,7 @@ OP5_SHARDS = 40
 
 
 def op5_stratified_shards(spark, sf_dir: str) -> DataFrame:
+    """``interleave_shards`` of ``documents`` into 40 shards under the law ``rows``; cases as stated there."""
     from .common import table
 
     out = interleave_shards(table(spark, sf_dir, "documents"), OP5_SHARDS)
