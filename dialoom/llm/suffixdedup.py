@@ -13,15 +13,17 @@ too many to shuffle, so they are sorted from anchors only:
    sorting. Of two contexts ``l`` bytes agree to the left and ``r`` to the right (least common prefixes
    between their places in either order); they share a window exactly if ``l + r >= length``. Each
    context keeps the largest such ``l`` and ``r``.
-4. Every anchor thus covers one interval; the union in a document is what goes.
-
-A gram with very many different contexts is cut into blocks, and every pair of blocks is one task.
+4. A gram with more than ``BLOCK`` different contexts, as a passage that very many documents hold has, is
+   not sorted in one task: each window of its contexts becomes a hash under the gram, and windows that
+   occur in two places are found by an aggregate, whose cost grows with the contexts and not their square.
+5. Every anchor thus covers one interval; the union in a document is what goes.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ from .suffixsort import deep_shallow_sort
 
 LENGTH = 200
 GRAM = 64
-#: Different contexts of one gram in a block; a task holds two blocks.
+#: Different contexts of one gram that are sorted together; beyond, windows are aggregated.
 BLOCK = 512
 
 
@@ -87,7 +89,8 @@ def anchors(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndar
 
 
 ANCHOR = struct_of("h long, c long, doc_id long, t long, pos int")
-CONTEXT = struct_of("h long, c long, n long, blocks int, own int, left binary, right binary")
+CONTEXT = struct_of("h long, c long, n long, left binary, right binary")
+WINDOW = struct_of("h long, w long, c long, l int")
 FOUND = struct_of("h long, c long, l int, r int")
 
 
@@ -140,12 +143,47 @@ def _context_rows(length: int, gram: int):
             for w in wanted:
                 p = w["pos"]
                 left, right = raw[max(0, p - (length - gram)) : p], raw[p : p + length]
-                rows.append((w["h"], w["c"], w["n"], w["blocks"], w["c"] % w["blocks"], left, right))
+                rows.append((w["h"], w["c"], w["n"], left, right))
         return _columns(rows, CONTEXT)
 
     return run
 
 
+def _window_rows(length: int, gram: int):
+    """The hash of every window of the wanted contexts, and how many of its bytes lie left of the anchor."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        digest = xxhash.xxh3_64_intdigest
+        schema = arrow_schema(WINDOW)
+        for batch in batches:
+            held: list[list] = [[], [], [], []]
+
+            def rows(held=held) -> pa.RecordBatch:
+                h, w, c, l = held
+                w = np.array(w, np.uint64).view(np.int64)
+                return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((h, w, c, l), schema, strict=True)], schema=schema)
+
+            for text, wanted in zip(texts(batch), batch.column("wanted").to_pylist(), strict=True):
+                raw = _raw(text)
+                for x in wanted:
+                    p = x["pos"]
+                    starts = range(max(0, p - (length - gram)), min(p, len(raw) - length) + 1)
+                    held[0] += [x["h"]] * len(starts)
+                    held[1] += [digest(raw[a : a + length]) for a in starts]
+                    held[2] += [x["c"]] * len(starts)
+                    held[3] += [p - a for a in starts]
+                    if len(held[0]) > 200_000:
+                        yield rows()
+                        for column in held:
+                            column.clear()
+            if held[0]:
+                yield rows()
+
+    return run
+
+
 class _Prefixes:
     """Common prefixes of any two members of one group, from a sorted order: range minima of neighbours."""
 
@@ -231,9 +269,8 @@ def match_contexts(group: np.ndarray, counts: np.ndarray, lefts: list[bytes], ri
 
 def _found_rows(length: int, gram: int):
     def run(part: pa.Table) -> pa.RecordBatch | None:
-        keys = np.stack([part.column(k).to_numpy().astype(np.int64) for k in ("h", "lo", "hi")])
-        change = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
-        group = np.r_[0, np.cumsum(change)]
+        h = part.column("h").to_numpy()
+        group = np.r_[0, np.cumsum(h[1:] != h[:-1])]
         counts = part.column("n").to_numpy()
         l, r = match_contexts(group, counts, part.column("left").to_pylist(), part.column("right").to_pylist(), length, gram)
         at = np.flatnonzero(l >= 0)
@@ -273,27 +310,40 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     contexts = kept.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "t", "pos")).alias("one"))
     contexts = materialise(contexts, "suffix-contexts")
     several = contexts.groupBy("h").agg(F.count("*").alias("_m"), F.min("n").alias("_least"))
-    several = several.where("_m > 1 and _least = 1").select(F.col("h").alias("_h"), F.expr(f"cast(ceil(_m / {BLOCK}) as int)").alias("blocks"))
+    several = several.where("_m > 1 and _least = 1").select(F.col("h").alias("_h"), (F.col("_m") > BLOCK).alias("many"))
     several = materialise(several, "suffix-several")
-    wanted = contexts.join(several, F.col("h") == F.col("_h"))
-    wanted = wanted.groupBy(F.col("one.doc_id").alias("_doc"), F.col("one.t").alias("_t")).agg(
-        F.collect_list(F.struct(F.col("one.pos").alias("pos"), "h", "c", "n", "blocks")).alias("wanted")
-    )  # a document's own anchors: as many as its bytes allow
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t"))
-    # texts are always dealt by id: broadcasts would do for small tables only
-    rows = docs.join(wanted.hint("merge"), same).select("text", "wanted")
-    cut = map_arrow(rows, _context_rows(length, gram), CONTEXT)
-    cut = cut.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    cut = cut.select("h", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "c", "n", "left", "right")
+
+    def texts_with(grams: DataFrame) -> DataFrame:
+        """``text, wanted``: one document for each context of these grams, with its places."""
+        wanted = contexts.join(grams, F.col("h") == F.col("_h"))
+        wanted = wanted.groupBy(F.col("one.doc_id").alias("_doc"), F.col("one.t").alias("_t")).agg(
+            F.collect_list(F.struct(F.col("one.pos").alias("pos"), "h", "c", "n")).alias("wanted")
+        )  # a document's own anchors: as many as its bytes allow
+        same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t"))
+        # texts are always dealt by id: broadcasts would do for small tables only
+        return docs.join(wanted.hint("merge"), same).select("text", "wanted")
+
+    cut = map_arrow(texts_with(several.where("not many")), _context_rows(length, gram), CONTEXT)
     # repeated rows of one document send the same context more than once
-    matched = map_groups(cut, ["h", "lo", "hi"], _found_rows(length, gram), FOUND)
+    matched = map_groups(cut, ["h"], _found_rows(length, gram), FOUND)
+    frequent = several.where("many")
+    windows = None
+    if not frequent.isEmpty():
+        windows = materialise(texts_with(frequent).mapInArrow(_window_rows(length, gram), WINDOW), "suffix-windows")
+        place = F.struct("c", "l")
+        twice = windows.groupBy("h", "w").agg(F.min(place).alias("_a"), F.max(place).alias("_b")).where("_a <> _b")
+        # written before the join, which adaptive execution can then split where a window is very common
+        twice = materialise(twice.select(F.col("h").alias("_h"), F.col("w").alias("_w")), "suffix-twice")
+        shared = windows.join(twice.hint("merge"), (F.col("h") == F.col("_h")) & (F.col("w") == F.col("_w")))
+        matched = matched.unionByName(shared.select("h", "c", "l", (F.lit(length) - F.col("l")).alias("r")))
     matched = matched.groupBy("h", "c").agg(F.max("l").alias("l"), F.max("r").alias("r"))
     whole = contexts.where("n > 1").select("h", "c", F.lit(length - gram).alias("l"), F.lit(length).alias("r"))
     cover = materialise(whole.unionByName(matched).select(F.col("h").alias("_h"), F.col("c").alias("_c"), "l", "r"), "suffix-cover")
     spans = kept.join(cover.hint("merge"), (F.col("h") == F.col("_h")) & (F.col("c") == F.col("_c")))
     spans = spans.select("doc_id", "t", F.greatest(F.lit(0), F.col("pos") - F.col("l")).alias("a"), (F.col("pos") + F.col("r")).alias("b"))
     spans = materialise(spans.groupBy("doc_id", "t").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "suffix-spans")
-    discard(kept)
+    for stored in (kept, contexts, several, cover, *([windows, twice] if windows is not None else ())):
+        discard(stored)
     return spans
 
 
@@ -315,8 +365,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row; the kept text too, if asked.
 
     Texts are UTF-8 bytes, null as empty; matches never cross documents; a text shorter than ``length``
-    loses nothing; of copies every one loses the whole. Repeated rows are copies of each other. The kept
-    text drops what cutting left of a character. ``carry`` names string columns of ``docs`` to pass on.
+    loses nothing; of copies every one loses the whole, as there is no first among ties. Repeated rows are
+    copies of each other; null ids are no special case; an empty table gives no rows; texts of any length are
+    read whole. The kept text drops what cutting left of a character. ``carry`` names string columns of
+    ``docs`` to pass on; other columns are not read, so names that clash do no harm.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(F.col(c).cast("string").alias(c) for c in carry))
     rows = rows.withColumn("t", F.xxhash64("text"))
@@ -340,4 +392,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with
 
 
 def op7_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
+    """``remove_repeats`` of ``documents`` for 200 bytes; cases as stated there."""
     return remove_repeats(table(spark, sf_dir, "documents"))

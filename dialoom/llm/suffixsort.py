@@ -1,10 +1,10 @@
 """Deep-shallow suffix sorting of many byte strings at once.
 
-Shallow part: multikey quicksort on words of eight bytes. All groups of strings that agree so far are
-split in one vectorised step by their next word (the words of a step are the key of that depth), down to
-``SHALLOW`` bytes. Deep part: groups that still agree share a long prefix; each gets a blind trie, which
-stores only branching depths and bytes, finds a new string's place with one descent and one comparison
-of whole strings, and returns the order together with the common prefixes of neighbours.
+Shallow part: multikey quicksort on words of eight bytes, down to ``SHALLOW`` bytes: three-way partitions by
+a pivot word, of which only the equal part goes a word deeper; all open groups are split in one step. Deep
+part: groups that still agree share a long prefix; each gets a blind trie, which stores only branching
+depths and bytes, finds a new string's place with one descent and one comparison of whole strings, and
+returns the order together with the common prefixes of neighbours.
 """
 
 from __future__ import annotations
@@ -94,10 +94,47 @@ class BlindTrie:
         return order, prefixes
 
 
-def _words(strings: list[bytes], first: int) -> np.ndarray:
-    """Eight bytes of each string as a big-endian word; missing bytes as zero."""
-    raw = b"".join(s[first : first + 8].ljust(8, b"\0") for s in strings)
-    return np.frombuffer(raw, ">u8").astype(np.uint64)
+def _keys(strings: list[bytes]) -> np.ndarray:
+    """``keys[d]``: every string's eight bytes from ``8 * d`` on as a big-endian word, missing bytes as zero."""
+    raw = b"".join([x[:SHALLOW].ljust(SHALLOW, b"\0") for x in strings])
+    return np.ascontiguousarray(np.frombuffer(raw, ">u8").reshape(len(strings), SHALLOW // 8).T).astype(np.uint64)
+
+
+def multikey_quicksort(strings: list[bytes], label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the strings by label and then by their first SHALLOW bytes, and for each place where its group begins.
+
+    A group is a run of places that agree in the label and all bytes looked at so far; each has a depth of its
+    own. A step splits every open group, all in one pass over arrays, by the pivot that its middle member
+    holds at the group's depth: smaller, equal and greater members become three groups, of which only the
+    equal one goes eight bytes deeper. A group is done when it has one member or is SHALLOW bytes deep.
+    """
+    n = len(strings)
+    words = _keys(strings)
+    sizes = np.fromiter(map(len, strings), np.int64, n)
+    order = np.argsort(label, kind="stable")
+    first = np.r_[True, label[order][1:] != label[order][:-1]]
+    start = np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    depth = np.zeros(n, np.int64)  # by place, in words
+    open_ = np.arange(n)
+    while len(open_):
+        count = np.bincount(start[open_], minlength=n)
+        open_ = open_[(count[start[open_]] > 1) & (depth[open_] < SHALLOW // 8)]
+        if not len(open_):
+            break
+        group, member, d = start[open_], order[open_], depth[open_]
+        pivot = order[group + count[group] // 2]
+        x, y = words[d, member], words[d, pivot]
+        # a string that ends inside the word sorts before one that goes on with zero bytes
+        left, right = np.clip(sizes[member] - 8 * d, 0, 8), np.clip(sizes[pivot] - 8 * d, 0, 8)
+        side = np.where((x > y) | ((x == y) & (left > right)), 2, np.where((x == y) & (left == right), 1, 0))
+        # whole groups are open or done, so a stable sort by group and side permutes places inside groups only
+        moved = np.argsort(3 * group + side, kind="stable")
+        order[open_] = member[moved]
+        key = (3 * group + side)[moved]
+        new = np.r_[True, key[1:] != key[:-1]]
+        start[open_] = open_[np.maximum.accumulate(np.where(new, np.arange(len(open_)), 0))]
+        depth[open_] = d[moved] + (side[moved] == 1)
+    return order, start
 
 
 def deep_shallow_sort(strings: list[bytes], group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -108,29 +145,11 @@ def deep_shallow_sort(strings: list[bytes], group: np.ndarray | None = None) ->
     n = len(strings)
     if not n:
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    label = np.zeros(n, np.int64) if group is None else np.unique(group, return_inverse=True)[1].astype(np.int64)
-    order = np.argsort(label, kind="stable")
-    outer = label.copy()
-    # multikey quicksort: split every group by its next word, all groups in one step
-    active = np.arange(n)
-    for depth in range(0, SHALLOW, 8):
-        sizes = np.bincount(label, minlength=1)
-        active = active[sizes[label[active]] > 1]
-        if not len(active):
-            break
-        word = np.zeros(n, np.uint64)
-        length = np.zeros(n, np.int64)
-        word[active] = _words([strings[k] for k in active], depth)
-        length[active] = [min(max(len(strings[k]) - depth, 0), 8) for k in active]
-        order = np.lexsort((length, word, label))
-        a, b = order[1:], order[:-1]
-        label_new = np.zeros(n, np.int64)
-        label_new[order[1:]] = np.cumsum((label[a] != label[b]) | (word[a] != word[b]) | (length[a] != length[b]))
-        label = label_new
-    order = np.lexsort((np.arange(n), label))
-    starts = np.flatnonzero(np.r_[True, label[order][1:] != label[order][:-1]])
+    outer = np.zeros(n, np.int64) if group is None else np.unique(group, return_inverse=True)[1].astype(np.int64)
+    order, start = multikey_quicksort(strings, outer)
+    starts = np.unique(start)
     out, prefixes = order.copy(), np.zeros(n, np.int64)
-    for a, b in zip(starts, [*starts[1:], n], strict=True):
+    for a, b in zip(starts.tolist(), [*starts[1:].tolist(), n], strict=True):
         if b - a == 2:  # a trie of two strings is their comparison
             x, y = (strings[k] for k in order[a:b])
             prefixes[a + 1] = common_prefix(x, y)
