@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from dialoom.llm import langid
@@ -31,3 +32,21 @@ def test_rejects_what_is_far(spark):
     model = langid.fit(df)
     near, far = model.predict(["the cat and the hat sat with the cat", "ぬるぽ がっ"])
     assert near[0] == "en" and far[2]
+
+
+def test_numerals_are_no_letters(spark):
+    model = langid.fit(documents(spark, ["the cat sat on the mat", "a dog in the fog"] * 10))
+    assert [r[0] for r in model.predict(["²½", "①", "Ⅳ", "१२३", "12 ½", "½a", "ª"])] == ["und"] * 5 + ["en"] * 2
+
+
+def test_many_languages_are_one_pass_and_too_many_an_error(spark):
+    rows = [(k, f"{chr(0x4E00 + k % 40) * 3} {chr(97 + k % 26)}{chr(97 + k % 7)} x", f"l{k % 40}") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df, dimensions=1 << 10)
+    assert len(model.languages) == 40
+    langid.MAX_LANGUAGES, before = 39, langid.MAX_LANGUAGES
+    try:
+        with pytest.raises(ValueError, match="40 languages"):
+            langid.fit(df, dimensions=1 << 10)
+    finally:
+        langid.MAX_LANGUAGES = before
