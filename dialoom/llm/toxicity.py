@@ -1,13 +1,13 @@
 """Toxicity by a weighted lexicon: folding, Aho-Corasick, exception phrases, length normalisation.
 
-Text is folded (case, compatibility forms, combining marks of look-alike letters, homoglyphs, digits and
-signs inside words), then one automaton finds all lexicon terms. Terms are anchored at word starts:
-whole words, and beginnings of longer words, which catches families of words that share a stem. An
-exception phrase that covers a match cancels it. The weights of the remaining matches are summed and
+Text is folded (case, compatibility forms, combining marks, homoglyphs, digits and signs inside words),
+then one automaton finds all lexicon terms. Terms are anchored at word starts: whole words, and
+beginnings of longer words, which catches families of words that share a stem. An exception, a word or a
+phrase of two words, that covers a match cancels it. The weights of the remaining matches are summed and
 normalised by the text's length; a logistic curve turns sum, density and count into a score.
 
-Terms, weights, exceptions and curve are learned from a bounded, seeded sample of labelled rows; all
-documents are scored over their whole text.
+Terms, weights, exceptions and curve are learned from a bounded, seeded sample of labelled rows, SAMPLE_ROWS;
+nothing else limits the lexicon but the evidence a term needs. All documents are scored over their whole text.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +28,8 @@ from .common import arrow_schema, fold_of, map_arrow, struct_of, table, texts
 
 #: At most this many labelled rows are learned from, chosen by a hash of the id.
 SAMPLE_ROWS = 12_000
-#: A term needs this many documents and this much evidence (a log-likelihood ratio), and at most so many stay.
-LEAST_DOCS, LEAST_EVIDENCE, MAX_TERMS = 3, 16.0, 4000
+#: A term needs this many documents and this much evidence (a log-likelihood ratio).
+LEAST_DOCS, LEAST_EVIDENCE = 3, 16.0
 #: Lengths of word beginnings that may be terms.
 STEM_MIN, STEM_MAX = 3, 10
 
@@ -42,13 +43,14 @@ _DIGIT_TABLE = str.maketrans(DIGITS)
 #: Substitutes inside a word, at its start before a letter, and digits at its end after one.
 _LEET = re.compile(r"(?<=[^\W\d_])[\d@$!]+(?=[^\W_])|(?<![^\W_])[\d@$!]+(?=[^\W\d_])|(?<=[^\W\d_])\d+")
 _BREAK = re.compile(r"[\W_]+")
-_INVISIBLE = re.compile("[\u00ad\u200b-\u200f\u2060\ufeff]")
+_HIDDEN = regex.compile("[\u00ad\u200b-\u200f\u2060\ufeff\\p{Mn}]+")
 
 
 def fold(text: str) -> str:
     """The text as lower-case words between single spaces, with disguises undone."""
     if not text.isascii():
-        text = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
+        # marks go, on whatever letter they stand; what is no mark, as Hangul, is put together again
+        text = unicodedata.normalize("NFC", _HIDDEN.sub("", unicodedata.normalize("NFKD", text)))
         if _HOMOGLYPH.search(text.lower()):
             text = text.lower().translate(_HOMOGLYPH_TABLE)
     text = text.lower()
@@ -102,9 +104,13 @@ class Lexicon:
 
     def matches(self, folded: str) -> list[float]:
         """Weights of the words hit, the heaviest term of each word, without what exceptions cover."""
+        return list(self.hits(folded).values())
+
+    def hits(self, folded: str) -> dict[int, float]:
+        """The same by the place of the space before the word."""
         automaton = self._automaton if self._automaton is not None else self._build()
         if not len(automaton):
-            return []
+            return {}
         hits: dict[int, float] = {}
         covered: list[tuple[int, int]] = []
         for end, (size, weight) in automaton.iter(folded):
@@ -114,14 +120,22 @@ class Lexicon:
             elif weight > hits.get(start, 0.0):
                 hits[start] = weight
         if covered and hits:
-            hits = {s: w for s, w in hits.items() if not any(a <= s < b for a, b in covered)}
-        return list(hits.values())
+            covered.sort()
+            end, k, left = -1, 0, {}
+            for s in sorted(hits):  # one sweep: the furthest end of the phrases that begin at or before this place
+                while k < len(covered) and covered[k][0] <= s:
+                    end = max(end, covered[k][1])
+                    k += 1
+                if s >= end:
+                    left[s] = hits[s]
+            hits = left
+        return hits
 
     def features(self, text: str) -> list[float]:
         folded = fold(text)
         found = self.matches(folded)
         words = max(1, folded.count(" ") - 1)
-        return [math.log1p(sum(found)), math.sqrt(sum(found) / words), float(min(len(found), 3)), max(found, default=0.0)]
+        return [math.log1p(sum(found)), math.sqrt(sum(found) / words), math.log1p(len(found)), max(found, default=0.0)]
 
     def score(self, text: str) -> float:
         c = self.curve or [-3.0, 1.0, 1.0, 1.0, 0.0]
@@ -153,35 +167,52 @@ COUNTS = struct_of("term string, toxic long, clean long")
 POINT = struct_of("toxic int, f0 double, f1 double, f2 double, f3 double")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
-    """Learn a lexicon from the rows of ``labels`` (doc_id, toxic), all of which may be used.
+def phrases_of(folded: str, hits: dict[int, float]) -> set[str]:
+    """The words hit, each with the word before and with the word after."""
+    out = set()
+    for at in hits:
+        end = folded.index(" ", at + 1)
+        if at:
+            out.add(folded[folded.rindex(" ", 0, at) : end + 1])
+        if end + 1 < len(folded):
+            out.add(folded[at : folded.index(" ", end + 1) + 1])
+    return out
 
-    Rows with a null id or label teach nothing. Without a label of either kind the lexicon is empty.
-    """
-    chosen = labels.where("doc_id is not null and toxic is not null").select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
-    chosen = chosen.orderBy(F.xxhash64("_id", F.lit(11)), "_id").limit(sample_rows)
-    n_toxic, n_clean = (chosen.agg(F.sum(F.when(F.col("toxic") == k, 1).otherwise(0)).alias("n")).first()["n"] or 0 for k in (1, 0))
-    if not n_toxic or not n_clean:
-        return Lexicon({})
-    # sample_rows rows of two numbers: small by the parameter
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample = sample.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "toxic")
-    sample = sample.repartition(max(1, min(64, sample_rows // 200)))
+
+def _counts(sample: DataFrame, features) -> DataFrame:
+    """In how many toxic and clean texts of the sample each of a text's features is: ``term, toxic, clean``."""
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         both = (Counter(), Counter())
         for text, toxic in zip(texts(batch), batch.column("toxic").to_pylist(), strict=True):
-            both[1 - toxic].update(features_of(fold(text)))
+            both[1 - toxic].update(features(fold(text)))
         terms = list(both[0].keys() | both[1].keys())
         cols = [pa.array(terms, pa.string()), *(pa.array([c[t] for t in terms], pa.int64()) for c in both)]
         return pa.RecordBatch.from_arrays(cols, schema=arrow_schema(COUNTS))
 
-    counts = map_arrow(sample, count, COUNTS).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    return map_arrow(sample, count, COUNTS).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Lexicon:
+    """Learn a lexicon from the rows of ``labels`` (doc_id, toxic), all of which may be used; toxic is a number over 0.
+
+    Rows with a null id or label teach nothing. Without a label of either kind the lexicon is empty. Which rows
+    are learned from, and what from them, does not depend on the order of the tables.
+    """
+    chosen = labels.where("doc_id is not null and toxic is not null").select(F.col("doc_id").alias("_id"), F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"))
+    chosen = chosen.orderBy(F.xxhash64("_id", F.lit(11)), "_id", "toxic").limit(sample_rows)
+    n_toxic, n_clean = (chosen.agg(F.count_if(F.col("toxic") == k).alias("n")).first()["n"] for k in (1, 0))
+    if not n_toxic or not n_clean:
+        return Lexicon({})
+    # sample_rows rows of two numbers: small by the parameter
+    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    sample = sample.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    sample = sample.repartition(max(1, min(64, sample_rows // 200)))
+    counts = _counts(sample, features_of)
     # more toxic documents than the class's share lets expect: only these may carry weight
     lean = counts.where(F.col("toxic") >= LEAST_DOCS).where(F.col("toxic") * n_clean > F.col("clean") * n_toxic * 2)
     rate = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
-    lean = lean.withColumn("lift", rate).orderBy(F.col("toxic") * F.col("lift"), ascending=False).limit(4 * MAX_TERMS)
-    found = {r["term"]: (r["toxic"], r["clean"], r["lift"]) for r in lean.collect()}
+    found = {r["term"]: (r["toxic"], r["clean"], r["lift"]) for r in lean.withColumn("lift", rate).collect()}  # terms of sample_rows texts, LEAST_DOCS of them or more
     weights = {t: w for t, (a, b, w) in found.items() if _evidence(a, b, n_toxic, n_clean) >= LEAST_EVIDENCE}
     # a stem stands for a family of words; one that mostly comes from a single word would only hit its neighbours
     alone = {}
@@ -190,20 +221,24 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> L
             for n in range(STEM_MIN + 1, len(word) - 1):
                 alone[word[:n]] = max(alone.get(word[:n], 0), toxic)
     weights = {t: w for t, w in weights.items() if t.endswith(" ") or 2 * alone.get(t, 0) < found[t][0]}
-    # a stem that says no more than a shorter one, or a word no more than its stem, is left out
-    kept = dict(sorted(weights.items(), key=lambda x: (-x[1] * found[x[0]][0], x[0]))[:MAX_TERMS])
-    slim = {t: w for t, w in kept.items() if t.endswith(" ") or not any(found[t][:2] == found[s][:2] for s in (t[:-1],) if s in kept)}
+    # a stem that says no more than a shorter one is left out
+    slim = {t: w for t, w in sorted(weights.items()) if t.endswith(" ") or t[:-1] not in weights or found[t][:2] != found[t[:-1]][:2]}
+    mild = (F.col("clean") >= 2) & (F.col("toxic") * n_clean <= F.col("clean") * n_toxic * 1.5)
     # whole words that a stem term would hit but clean documents use: exceptions
-    stems = tuple(t for t in slim if not t.endswith(" "))
-    exceptions = []
+    stems = [t for t in slim if not t.endswith(" ")]
+    exceptions = set()
     if stems:
-        common = counts.where(F.col("term").endswith(" ")).where("clean >= 2").where(F.col("toxic") * n_clean <= F.col("clean") * n_toxic * 1.5)
-        heads = docs.sparkSession.createDataFrame([(x,) for x in stems], "stem string")  # MAX_TERMS rows at most
+        heads = docs.sparkSession.createDataFrame([(x,) for x in stems], "stem string")  # no more than the lexicon's terms
         begins = F.explode(F.transform(F.sequence(F.lit(STEM_MIN + 1), F.lit(STEM_MAX + 1)), lambda n: F.col("term").substr(F.lit(1), n)))
-        used = common.select("term", "clean", begins.alias("stem")).join(F.broadcast(heads), "stem", "left_semi")
-        used = used.groupBy("term").agg(F.max("clean").alias("clean"))
-        exceptions = [r["term"] for r in used.orderBy(F.col("clean").desc(), "term").limit(MAX_TERMS).collect()]
-    lexicon = Lexicon(slim, exceptions)
+        used = counts.where(F.col("term").endswith(" ")).where(mild).select("term", begins.alias("stem"))
+        used = used.join(F.broadcast(heads), "stem", "left_semi").select("term").distinct()
+        exceptions = {r["term"] for r in used.collect()}
+    lexicon = Lexicon(slim, sorted(exceptions))
+    # and phrases in which clean documents use a word that is hit
+    if slim:
+        used = _counts(sample, lambda folded, lexicon=lexicon: phrases_of(folded, lexicon.hits(folded)))
+        exceptions |= {r["term"] for r in used.where(F.col("clean") >= LEAST_DOCS).where(mild).collect()}
+        lexicon = Lexicon(slim, sorted(exceptions))
 
     def points(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [lexicon.features(t) for t in texts(batch)]
@@ -224,8 +259,9 @@ SCORES = struct_of("doc_id long, score double, predicted int")
 def score_documents(docs: DataFrame, lexicon: Lexicon, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, score, predicted`` for every row, from its text alone; ``carry`` passes columns on.
 
-    Null and empty texts get the score of a text without a match. Repeated rows are scored each; an
-    empty table gives none.
+    Null and empty texts get the score of a text without a match; a score of just 0.5 counts as toxic. Repeated
+    rows are scored each; an empty table gives none; other columns, whatever their names, are only passed on if
+    named in ``carry``. Time grows with a text's length, however many words are hit.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *(c for c in carry if c != "text"))
     schema = type(SCORES)([*SCORES.fields, *(rows.schema[c] for c in carry)])
@@ -244,6 +280,7 @@ def training_labels(labels: DataFrame) -> DataFrame:
 
 
 def op2_toxicity_lexicon(spark, sf_dir: str) -> DataFrame:
+    """``score_documents`` for ``documents`` with a lexicon of the training folds; cases as stated there and at ``fit``."""
     docs = table(spark, sf_dir, "documents")
     lexicon = fit(docs, training_labels(table(spark, sf_dir, "labels")))
     out = score_documents(docs, lexicon)
