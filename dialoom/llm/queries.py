@@ -18,6 +18,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op9_language_id": langid.op9_language_id,
     "op6_token_counts": tokencount.op6_token_counts,
+    "page_sequences": interleave.page_sequences,
 }
 
 ORACLE_SQL = {
