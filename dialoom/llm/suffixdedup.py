@@ -36,7 +36,7 @@ from .suffixsort import deep_shallow_sort
 LENGTH = 200
 GRAM = 64
 #: Different contexts of one gram that are sorted together; beyond, windows are aggregated.
-BLOCK = 512
+BLOCK = 1 << 14
 
 
 @functools.cache
@@ -207,6 +207,20 @@ class _Prefixes:
             out[at] = np.minimum(x[lo[at]], x[hi[at] - (1 << int(k)) + 1])
         return out
 
+    def near(self, i: int, least: int) -> np.ndarray:
+        """The members, but ``i``, that agree with it in ``least`` bytes: they surround it in the order."""
+        p, n = int(self.place[i]), len(self.order)
+        ends = []
+        for there in (self.common[p + 1 :], self.common[p:0:-1]):
+            size = 16
+            while True:
+                low = np.flatnonzero(there[:size] < least)
+                if len(low) or size >= len(there):
+                    break
+                size *= 4
+            ends.append(int(low[0]) if len(low) else len(there))
+        return np.r_[self.order[max(0, p - ends[1]) : p], self.order[p + 1 : min(n, p + 1 + ends[0])]]
+
     def most(self) -> np.ndarray:
         """Each member's longest common prefix with any other of its group (-1 if it is alone)."""
         after = np.r_[self.common[1:], np.int16(-1)] if len(self.common) else self.common
@@ -217,7 +231,7 @@ class _Prefixes:
         return out
 
 
-#: Neighbours on either side, in both orders, that are tried before a member is compared with its whole group.
+#: Neighbours on either side, in both orders, that are tried before a member meets all that could still matter.
 NEIGHBOURS = 3
 
 
@@ -226,7 +240,8 @@ def match_contexts(group: np.ndarray, counts: np.ndarray, lefts: list[bytes], ri
 
     ``group`` is sorted; the rights of a group agree in their first ``same`` bytes. Contexts with a count
     over one need no answer and get -1, as do those that share no window. A member is done when what it
-    found meets the bounds that its neighbours in the two orders set; else its whole group is looked at.
+    found meets the bounds that its neighbours in the two orders set; else it meets all that agree with it
+    further than what was found, which lie around it in either order.
     """
     n = len(group)
     order, common = deep_shallow_sort([x[same:] for x in rights], group)
@@ -243,6 +258,13 @@ def match_contexts(group: np.ndarray, counts: np.ndarray, lefts: list[bytes], ri
         best_l[i] = np.maximum(best_l[i], l)
         best_r[i] = np.maximum(best_r[i], r)
 
+    def meet_one(i: int, j: np.ndarray) -> None:
+        l, r = left.of(np.full(len(j), i), j).astype(np.int64), right.of(np.full(len(j), i), j).astype(np.int64)
+        hit = l + r >= length
+        if hit.any():
+            best_l[i] = max(best_l[i], int(l[hit].max()))
+            best_r[i] = max(best_r[i], int(r[hit].max()))
+
     for step in range(1, NEIGHBOURS + 1):
         for side in (left, right):
             for sign in (step, -step):
@@ -254,16 +276,12 @@ def match_contexts(group: np.ndarray, counts: np.ndarray, lefts: list[bytes], ri
         open_ = open_[(best_l[open_] < most_l[open_]) | (best_r[open_] < most_r[open_])]
         if not len(open_):
             return best_l, best_r
-    starts = np.searchsorted(group, group[open_], side="left")
-    ends = np.searchsorted(group, group[open_], side="right")
-    for i, a, b in zip(open_.tolist(), starts.tolist(), ends.tolist(), strict=True):
-        if b - a > NEIGHBOURS + 1:  # else all of the group were neighbours
-            j = np.r_[a:i, i + 1 : b]
-            l = left.of(np.full(len(j), i), j).astype(np.int64)
-            r = right.of(np.full(len(j), i), j).astype(np.int64)
-            hit = l + r >= length
-            if hit.any():
-                best_l[i], best_r[i] = l[hit].max(), r[hit].max()
+    for i in open_.tolist():
+        # only members that agree further than what was found, and far enough for a window, can still matter
+        for side, best, other in ((left, best_l, most_r), (right, best_r, most_l)):
+            j = side.near(i, max(int(best[i]) + 1, length - int(other[i])))
+            if len(j):
+                meet_one(i, j)
     return best_l, best_r
 
 
@@ -330,11 +348,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     windows = None
     if not frequent.isEmpty():
         windows = materialise(texts_with(frequent).mapInArrow(_window_rows(length, gram), WINDOW), "suffix-windows")
-        place = F.struct("c", "l")
-        twice = windows.groupBy("h", "w").agg(F.min(place).alias("_a"), F.max(place).alias("_b")).where("_a <> _b")
+        # equal windows have their anchor at the same place; one window may hold the gram twice, at two places
+        twice = windows.groupBy("h", "w", "l").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a <> _b")
         # written before the join, which adaptive execution can then split where a window is very common
-        twice = materialise(twice.select(F.col("h").alias("_h"), F.col("w").alias("_w")), "suffix-twice")
-        shared = windows.join(twice.hint("merge"), (F.col("h") == F.col("_h")) & (F.col("w") == F.col("_w")))
+        twice = materialise(twice.select(F.col("h").alias("_h"), F.col("w").alias("_w"), F.col("l").alias("_l")), "suffix-twice")
+        shared = windows.join(twice.hint("merge"), (F.col("h") == F.col("_h")) & (F.col("w") == F.col("_w")) & (F.col("l") == F.col("_l")))
         matched = matched.unionByName(shared.select("h", "c", "l", (F.lit(length) - F.col("l")).alias("r")))
     matched = matched.groupBy("h", "c").agg(F.max("l").alias("l"), F.max("r").alias("r"))
     whole = contexts.where("n > 1").select("h", "c", F.lit(length - gram).alias("l"), F.lit(length).alias("r"))

@@ -75,3 +75,32 @@ def test_repeated_rows_and_empty(spark):
     rows = suffixdedup.remove_repeats(df.union(df), length=40, gram=16, with_text=True).collect()
     assert sorted((r["doc_id"], r["n_removed"], r["kept_text"]) for r in rows) == [(0, 51, ""), (0, 51, ""), (1, 0, "other"), (1, 0, "other")]
     assert suffixdedup.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_contexts_of_one_group_equal_brute_force():
+    rng = random.Random(1)
+    piece = lambda n, letters=b"ab": bytes(rng.choice(letters) for _ in range(n))
+    for _ in range(200):
+        n, base = rng.randint(2, 40), piece(40)
+        group = np.sort(np.array([rng.randrange(3) for _ in range(n)]))
+        lefts = [piece(rng.randint(0, 6)) + base[rng.randint(0, 10) : 12] for _ in range(n)]
+        rights = [base[12 : 20 + rng.randint(0, 12)] + piece(rng.randint(0, 8)) for _ in range(n)]
+        counts = np.array([rng.choice([1, 1, 1, 2]) for _ in range(n)])
+        l, r = suffixdedup.match_contexts(group, counts, lefts, rights, 18, 8)
+        for i in np.flatnonzero(counts == 1):
+            met = [(common_prefix(lefts[i][::-1], lefts[j][::-1]), common_prefix(rights[i], rights[j])) for j in range(n) if j != i and group[i] == group[j]]
+            met = [(a, b) for a, b in met if a + b >= 18]
+            assert (l[i], r[i]) == (max((a for a, _ in met), default=-1), max((b for _, b in met), default=-1))
+
+
+@pytest.mark.parametrize("block", [2, suffixdedup.BLOCK])
+def test_whole_table(spark, block):
+    """Every gram with several contexts by windows, then all by sorting."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id")
+    docs = df.select("doc_id", "text").collect()
+    suffixdedup.BLOCK, before = block, suffixdedup.BLOCK
+    try:
+        got = {r["doc_id"]: r for r in suffixdedup.op7_suffix_array_dedup(spark, "/root/testdata/sf0.001").collect()}
+    finally:
+        suffixdedup.BLOCK = before
+    assert [tuple(got[d["doc_id"]][1:5]) for d in docs] == brute([d["text"] for d in docs], 200)
