@@ -13,9 +13,10 @@ too many to shuffle, so they are sorted from anchors only:
    sorting. Of two contexts ``l`` bytes agree to the left and ``r`` to the right (least common prefixes
    between their places in either order); they share a window exactly if ``l + r >= length``. Each
    context keeps the largest such ``l`` and ``r``.
-4. A gram with more than ``BLOCK`` different contexts, as a passage that very many documents hold has, is
-   not sorted in one task: each window of its contexts becomes a hash under the gram, and windows that
-   occur in two places are found by an aggregate, whose cost grows with the contexts and not their square.
+4. A gram with more than ``BLOCK`` different contexts is cut into blocks, every pair of which is one task; with
+   more than ``MOST_BLOCKS`` blocks, as in a passage that very many documents hold, each window of its contexts
+   becomes a hash instead, and windows that occur in two places are found by an aggregate. So the cost of a
+   gram grows with its contexts, not with their square.
 5. Every anchor thus covers one interval; the union in a document is what goes.
 """
 
@@ -35,8 +36,10 @@ from .suffixsort import deep_shallow_sort
 
 LENGTH = 200
 GRAM = 64
-#: Different contexts of one gram that are sorted together; beyond, windows are aggregated.
-BLOCK = 1 << 14
+#: Different contexts of one gram in a block (a task holds two of them, some 20 MB), and blocks of a gram that meet
+#: in pairs at most; from there on 137 windows of 20 bytes are less than the copies of a context of 336.
+BLOCK = 1 << 15
+MOST_BLOCKS = 8
 
 
 @functools.cache
@@ -89,8 +92,8 @@ def anchors(raw: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndar
 
 
 ANCHOR = struct_of("h long, c long, doc_id long, t long, pos int")
-CONTEXT = struct_of("h long, c long, n long, left binary, right binary")
-WINDOW = struct_of("h long, w long, c long, l int")
+CONTEXT = struct_of("h long, c long, n long, blocks int, own int, left binary, right binary")
+WINDOW = struct_of("w long, h long, c long, l int")
 FOUND = struct_of("h long, c long, l int, r int")
 
 
@@ -143,14 +146,18 @@ def _context_rows(length: int, gram: int):
             for w in wanted:
                 p = w["pos"]
                 left, right = raw[max(0, p - (length - gram)) : p], raw[p : p + length]
-                rows.append((w["h"], w["c"], w["n"], left, right))
+                rows.append((w["h"], w["c"], w["n"], w["blocks"], w["c"] % w["blocks"], left, right))
         return _columns(rows, CONTEXT)
 
     return run
 
 
 def _window_rows(length: int, gram: int):
-    """The hash of every window of the wanted contexts, and how many of its bytes lie left of the anchor."""
+    """The hash of every window of the wanted contexts, and how many of its bytes lie left of the anchor.
+
+    Equal windows have their anchor at the same place, while one window may hold the gram twice, at two places:
+    the place is part of what is hashed.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -161,17 +168,17 @@ def _window_rows(length: int, gram: int):
             held: list[list] = [[], [], [], []]
 
             def rows(held=held) -> pa.RecordBatch:
-                h, w, c, l = held
+                w, h, c, l = held
                 w = np.array(w, np.uint64).view(np.int64)
-                return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((h, w, c, l), schema, strict=True)], schema=schema)
+                return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((w, h, c, l), schema, strict=True)], schema=schema)
 
             for text, wanted in zip(texts(batch), batch.column("wanted").to_pylist(), strict=True):
                 raw = _raw(text)
                 for x in wanted:
                     p = x["pos"]
                     starts = range(max(0, p - (length - gram)), min(p, len(raw) - length) + 1)
-                    held[0] += [x["h"]] * len(starts)
-                    held[1] += [digest(raw[a : a + length]) for a in starts]
+                    held[0] += [digest(raw[a : a + length], p - a) for a in starts]
+                    held[1] += [x["h"]] * len(starts)
                     held[2] += [x["c"]] * len(starts)
                     held[3] += [p - a for a in starts]
                     if len(held[0]) > 200_000:
@@ -287,8 +294,8 @@ def match_contexts(group: np.ndarray, counts: np.ndarray, lefts: list[bytes], ri
 
 def _found_rows(length: int, gram: int):
     def run(part: pa.Table) -> pa.RecordBatch | None:
-        h = part.column("h").to_numpy()
-        group = np.r_[0, np.cumsum(h[1:] != h[:-1])]
+        keys = np.stack([part.column(k).to_numpy().astype(np.int64) for k in ("h", "lo", "hi")])
+        group = np.r_[0, np.cumsum((keys[:, 1:] != keys[:, :-1]).any(axis=0))]
         counts = part.column("n").to_numpy()
         l, r = match_contexts(group, counts, part.column("left").to_pylist(), part.column("right").to_pylist(), length, gram)
         at = np.flatnonzero(l >= 0)
@@ -328,31 +335,32 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     contexts = kept.groupBy("h", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "t", "pos")).alias("one"))
     contexts = materialise(contexts, "suffix-contexts")
     several = contexts.groupBy("h").agg(F.count("*").alias("_m"), F.min("n").alias("_least"))
-    several = several.where("_m > 1 and _least = 1").select(F.col("h").alias("_h"), (F.col("_m") > BLOCK).alias("many"))
+    several = several.where("_m > 1 and _least = 1").select(F.col("h").alias("_h"), F.expr(f"cast(ceil(_m / {BLOCK}) as int)").alias("blocks"))
     several = materialise(several, "suffix-several")
 
     def texts_with(grams: DataFrame) -> DataFrame:
         """``text, wanted``: one document for each context of these grams, with its places."""
         wanted = contexts.join(grams, F.col("h") == F.col("_h"))
         wanted = wanted.groupBy(F.col("one.doc_id").alias("_doc"), F.col("one.t").alias("_t")).agg(
-            F.collect_list(F.struct(F.col("one.pos").alias("pos"), "h", "c", "n")).alias("wanted")
+            F.collect_list(F.struct(F.col("one.pos").alias("pos"), "h", "c", "n", "blocks")).alias("wanted")
         )  # a document's own anchors: as many as its bytes allow
         same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t"))
         # texts are always dealt by id: broadcasts would do for small tables only
         return docs.join(wanted.hint("merge"), same).select("text", "wanted")
 
-    cut = map_arrow(texts_with(several.where("not many")), _context_rows(length, gram), CONTEXT)
+    cut = map_arrow(texts_with(several.where(F.col("blocks") <= MOST_BLOCKS)), _context_rows(length, gram), CONTEXT)
+    cut = cut.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    cut = cut.select("h", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "c", "n", "left", "right")
     # repeated rows of one document send the same context more than once
-    matched = map_groups(cut, ["h"], _found_rows(length, gram), FOUND)
-    frequent = several.where("many")
+    matched = map_groups(cut, ["h", "lo", "hi"], _found_rows(length, gram), FOUND)
+    frequent = several.where(F.col("blocks") > MOST_BLOCKS)
     windows = None
     if not frequent.isEmpty():
         windows = materialise(texts_with(frequent).mapInArrow(_window_rows(length, gram), WINDOW), "suffix-windows")
-        # equal windows have their anchor at the same place; one window may hold the gram twice, at two places
-        twice = windows.groupBy("h", "w", "l").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a <> _b")
+        twice = windows.groupBy("w").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a <> _b")
         # written before the join, which adaptive execution can then split where a window is very common
-        twice = materialise(twice.select(F.col("h").alias("_h"), F.col("w").alias("_w"), F.col("l").alias("_l")), "suffix-twice")
-        shared = windows.join(twice.hint("merge"), (F.col("h") == F.col("_h")) & (F.col("w") == F.col("_w")) & (F.col("l") == F.col("_l")))
+        twice = materialise(twice.select(F.col("w").alias("_w")), "suffix-twice")
+        shared = windows.join(twice.hint("merge"), F.col("w") == F.col("_w"))
         matched = matched.unionByName(shared.select("h", "c", "l", (F.lit(length) - F.col("l")).alias("r")))
     matched = matched.groupBy("h", "c").agg(F.max("l").alias("l"), F.max("r").alias("r"))
     whole = contexts.where("n > 1").select("h", "c", F.lit(length - gram).alias("l"), F.lit(length).alias("r"))

@@ -93,14 +93,15 @@ def test_contexts_of_one_group_equal_brute_force():
             assert (l[i], r[i]) == (max((a for a, _ in met), default=-1), max((b for _, b in met), default=-1))
 
 
-@pytest.mark.parametrize("block", [2, suffixdedup.BLOCK])
-def test_whole_table(spark, block):
-    """Every gram with several contexts by windows, then all by sorting."""
+@pytest.mark.parametrize(("block", "most"), [(2, 0), (2, 9), (suffixdedup.BLOCK, 8)])
+def test_whole_table(spark, block, most):
+    """Every gram with several contexts by windows, then by pairs of small blocks, then each in one block."""
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id")
     docs = df.select("doc_id", "text").collect()
-    suffixdedup.BLOCK, before = block, suffixdedup.BLOCK
+    before = suffixdedup.BLOCK, suffixdedup.MOST_BLOCKS
+    suffixdedup.BLOCK, suffixdedup.MOST_BLOCKS = block, most
     try:
         got = {r["doc_id"]: r for r in suffixdedup.op7_suffix_array_dedup(spark, "/root/testdata/sf0.001").collect()}
     finally:
-        suffixdedup.BLOCK = before
+        suffixdedup.BLOCK, suffixdedup.MOST_BLOCKS = before
     assert [tuple(got[d["doc_id"]][1:5]) for d in docs] == brute([d["text"] for d in docs], 200)
