@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -64,26 +64,25 @@ def casefold(text: Column) -> Column:
     return F.when(low.rlike(r"[\x{b5}\x{149}-\x{10ffff}]"), out).otherwise(low)
 
 
-def nfc(df: DataFrame, apply: Callable[[Column], Column], probe: Column) -> DataFrame:
-    """Run ``apply`` with an NFC function only on the rows whose ``probe`` text may need it.
+def nfc(text: Column) -> Column:
+    """Normalisation form C.
 
-    Spark has no normaliser, so those rows go through one Arrow UDF; the others, almost all, stay in
-    generated code. The branch is a union of two filtered frames, because a UDF inside a conditional
-    would run on every row.
+    Spark has no normaliser. An Arrow UDF gets the texts that may need one and nulls for the others, almost
+    all, so the input is read once and hardly any text leaves the JVM.
     """
+
     @F.pandas_udf("string")
     def compose(texts: pd.Series) -> pd.Series:
         return texts.str.normalize("NFC")
 
     # below U+0300 every text is composed: a cheap range decides for most rows
-    needs = F.coalesce(probe.rlike(r"[\x{300}-\x{10ffff}]") & probe.rlike(MAYBE_NOT_NFC), F.lit(False))
-    return df.where(~needs).unionByName(apply(df.where(needs), compose))
+    needs = F.coalesce(text.rlike(r"[\x{300}-\x{10ffff}]") & text.rlike(MAYBE_NOT_NFC), F.lit(False))
+    return F.coalesce(compose(F.when(needs, text)), text)
 
 
 def normalise_column(df: DataFrame, name: str) -> DataFrame:
     """A string column in NFC with white space collapsed."""
-    composed = nfc(df, lambda part, compose: part.withColumn(name, compose(F.col(name))), F.col(name))
-    return composed.withColumn(name, collapse(F.col(name)))
+    return df.withColumn(name, collapse(nfc(F.col(name))))
 
 
 def sentence_count(text: Column) -> Column:

@@ -101,12 +101,35 @@ def size_bucket(n: Column) -> Column:
     return out.otherwise(SIZE_ABOVE)
 
 
-def card(name: str, language: str, total: int, licenses: list[str], counts: Mapping[str, int], sources: Mapping[str, int]) -> str:
-    """A dataset card: front matter and two tables."""
+# What every card says of its dataset, and what it adds for a language.
+CARD_TASK, CARD_TAGS, LANGUAGE_TAGS = "text-generation", ("persona", "roleplay", "sft"), {"ko": "korean"}
+
+
+def card(name: str, language: str, total: int, licenses: list[str], counts: Mapping[str, int], sources: Mapping[str, int], manifest: Mapping | None = None, system_prompt: str = "") -> str:
+    """A dataset card: front matter, tables of splits and sources, and what the manifest knows of the making."""
     bucket = next((b for bound, b in SIZE_BUCKETS if total < bound), SIZE_ABOVE)
-    head = ["---", f"language: {language}", f"license: {licenses[0] if len(licenses) == 1 else 'other'}", "task_categories: [text-generation]", f"size_categories: [{bucket}]", "---"]
-    rows = lambda title, d: [f"| {title} | sessions |", "| --- | --- |", *(f"| {k} | {v} |" for k, v in d.items())]
-    return "\n".join([*head, f"# {name}", "", *rows("split", counts), "", *rows("source", sources), ""])
+    tags = [*CARD_TAGS, *filter(None, [LANGUAGE_TAGS.get(language)])]
+    head = ["---", "language:", f"- {language}", f"license: {licenses[0] if len(licenses) == 1 else 'other'}", "task_categories:", f"- {CARD_TASK}", "tags:", *(f"- {t}" for t in tags), "size_categories:", f"- {bucket}", "---", ""]
+    out = [*head, f"# {name}", "", "| split | sessions |", "| --- | --- |", *(f"| {k} | {v} |" for k, v in counts.items())]
+    m = manifest or {}
+    of = m.get("licenses", {})
+    out += ["", "## Sources", "", "| source | sessions | licence |", "| --- | --- | --- |", *(f"| {k} | {v} | {', '.join(of.get(k, []))} |" for k, v in sources.items())]
+    if m.get("source_datasets"):
+        out += ["", "User turns come from:", ""]
+        for d in m["source_datasets"]:
+            translated = f", translated from {d['original_language']} by {d['translator'] or 'a teacher'}" if d.get("original_language") else ""
+            out.append(f"- `{d['source_dataset']}` ({d['license']}{translated}), {d['source_url'] or 'a local file'}, {d['n']} sessions")
+    if m.get("generators"):
+        out += ["", "## Models that wrote it", "", *(f"- `{k}`: {v} sessions" for k, v in m["generators"].items())]
+    if "student" in m:
+        lengths = m["length_report"]
+        out += ["", "## Training", "", f"- model `{m['student']['model']}`, trust_remote_code {m['student']['trust_remote_code']}", f"- chat template `{m['chat_template']}`, in `chat_template.jinja`"]
+        out += [f"- length in {lengths['method']}: p50 {lengths['p50']}, p95 {lengths['p95']}, p99 {lengths['p99']}, longest {lengths['max']}; cut at {lengths['cutoff_len']}", f"- recipe in `recipe/{m['recipe']['kind']}/`"]
+    if system_prompt:
+        out += ["", "## Format", "", "A line is a session. `messages` starts with the system message below; user and assistant follow in turn. Other fields tell where a session comes from.", "", "```", system_prompt, "```"]
+    if "persona_sha256" in m:
+        out += ["", "## Made from", "", f"- persona document `{m['persona_doc']}`, sha256 `{m['persona_sha256'][:16]}`", f"- configuration `{m['config_path']}`, seed {m['seed']}"]
+    return "\n".join([*out, ""])
 
 
 # The trainer settings of a recipe and their defaults; "auto" takes the length report's cutoff.
@@ -123,36 +146,60 @@ LORA_DEFAULTS = {
 }
 
 
-def lora_recipe(name: str, model: str, cutoff_len: int, settings: Mapping[str, object] | None = None, trust_remote_code: bool = False) -> dict[str, str]:
-    """Files of a LoRA fine-tuning recipe: dataset registration, trainer settings, a note."""
+#: The chat templates' names in the trainer.
+TRAINER_TEMPLATES = {"chatml": "chatml"}
+
+
+def lora_recipe(
+    name: str, model: str, cutoff_len: int, settings: Mapping[str, object] | None = None, trust_remote_code: bool = False, template: str = "chatml", folder: str = ".", length_note: str = ""
+) -> dict[str, str]:
+    """Files of a LoRA fine-tuning recipe in ``folder``: dataset registration, trainer settings, a note."""
     unknown = set(settings or {}) - set(LORA_DEFAULTS)
     if unknown:
         raise ValueError(f"unknown recipe settings: {sorted(unknown)}")
+    if template not in TRAINER_TEMPLATES:
+        raise ValueError(f"no trainer template for {template!r}; there are {sorted(TRAINER_TEMPLATES)}")
     s = LORA_DEFAULTS | dict(settings or {})
     cutoff = cutoff_len if s["cutoff_len"] == "auto" else int(s["cutoff_len"])
     tags = {f"{k}_tag": k for k in ("role", "content", "user", "assistant", "system")}
     entry = lambda split: {"file_name": f"../../{split}.jsonl", "formatting": "sharegpt", "columns": {"messages": "messages"}, "tags": tags}
     info = {name: entry("train"), f"{name}_val": entry("val")}
-    trainer = {
-        "model_name_or_path": model,
-        "trust_remote_code": trust_remote_code,
-        "stage": "sft",
-        "do_train": True,
-        "finetuning_type": "lora",
-        **{k: s[k] for k in ("lora_rank", "lora_alpha", "lora_dropout")},
-        "dataset": name,
-        "eval_dataset": f"{name}_val",
-        "template": "chatml",
-        "cutoff_len": cutoff,
-        "train_on_prompt": False,
-        "per_device_train_batch_size": s["batch_size"],
-        "gradient_accumulation_steps": s["gradient_accumulation"],
-        "learning_rate": s["learning_rate"],
-        "num_train_epochs": s["epochs"],
-        "warmup_ratio": s["warmup_ratio"],
-    }
-    return {
-        "dataset_info.json": json.dumps(info, ensure_ascii=False, indent=2) + "\n",
-        "lora_sft.yaml": "".join(f"{k}: {json.dumps(v, ensure_ascii=False)}\n" for k, v in trainer.items()),
-        "README.md": f"# {name}\n\nLoRA settings for `{model}`; texts are cut at {cutoff}; only assistant turns count in the loss.\n",
+    # What the trainer needs beside the settings.
+    groups = {
+        "model": {"model_name_or_path": model, "trust_remote_code": trust_remote_code},
+        "method": {"stage": "sft", "do_train": True, "finetuning_type": "lora", **{k: s[k] for k in ("lora_rank", "lora_alpha", "lora_dropout")}, "lora_target": "all"},
+        "dataset": {
+            "dataset": name,
+            "eval_dataset": f"{name}_val",
+            "dataset_dir": folder,
+            "template": TRAINER_TEMPLATES[template],
+            "cutoff_len": cutoff,
+            "train_on_prompt": False,
+            "preprocessing_num_workers": 4,
+        },
+        "output": {"output_dir": f"saves/{name}/lora", "logging_steps": 10, "save_steps": 200, "plot_loss": True, "overwrite_output_dir": True, "report_to": "none"},
+        "train": {
+            "per_device_train_batch_size": s["batch_size"],
+            "gradient_accumulation_steps": s["gradient_accumulation"],
+            "learning_rate": s["learning_rate"],
+            "num_train_epochs": s["epochs"],
+            "lr_scheduler_type": "cosine",
+            "warmup_ratio": s["warmup_ratio"],
+            "bf16": True,
+        },
+        "eval": {"per_device_eval_batch_size": s["batch_size"], "eval_strategy": "steps", "eval_steps": 100},
     }
+    value = lambda v: v if isinstance(v, str) and v.replace("_", "").replace("-", "").isalnum() else json.dumps(v, ensure_ascii=False)
+    trainer = "\n".join(f"### {title}\n" + "".join(f"{k}: {value(v)}\n" for k, v in rows.items()) for title, rows in groups.items())
+    note = [
+        f"# {name}: LoRA",
+        "",
+        f"    llamafactory-cli train {folder}/lora_sft.yaml",
+        "",
+        f"* Model: `{model}`, chat template `{template}`; use the same template when the model answers.",
+        f"* Texts are cut at {cutoff} tokens{f' ({length_note})' if length_note else ''}.",
+        "* Only assistant turns count in the loss.",
+        f"* `{name}_val` is evaluated every {groups['eval']['eval_steps']} steps.",
+        "",
+    ]
+    return {"dataset_info.json": json.dumps(info, ensure_ascii=False, indent=2) + "\n", "lora_sft.yaml": trainer, "README.md": "\n".join(note)}

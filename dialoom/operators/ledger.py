@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .schema import RecordKind
 
@@ -14,12 +15,14 @@ def first_wins(df: DataFrame, key: Column, position: str = "_pos") -> DataFrame:
     """``_later``: whether an earlier row has the same key; rows with a null key are never duplicates.
 
     The first position of each key is a partial aggregate joined back, not a window, so a key that a
-    third of all rows share is summed before the shuffle and its join partition can be split.
+    third of all rows share is summed before the shuffle and its join partition can be split. Only keys
+    that occur twice are joined: where they are few, adaptive execution broadcasts them and no row moves.
+    Positions are unique longs or structs.
     """
     # the row number keeps predicates on the key above it: pushed down they would compute the key again
     keyed = df.withColumn("_key", F.when(F.monotonically_increasing_id() >= 0, key))
-    first = keyed.where("_key is not null").groupBy("_key").agg(F.min(position).alias("_first"))
-    first = first.withColumnRenamed("_key", "_of")
+    first = keyed.where("_key is not null").groupBy("_key").agg(F.min(position).alias("_first"), F.count("*").alias("_times"))
+    first = first.where("_times > 1").select(F.col("_key").alias("_of"), "_first")
     joined = keyed.join(first, F.col("_key") == F.col("_of"), "left")
     return joined.withColumn("_later", F.coalesce(F.col(position) > F.col("_first"), F.lit(False))).drop("_of", "_first", "_key")
 
@@ -96,11 +99,17 @@ def stage_seed(seed: int, stage: str) -> int:
 def numbered(df: DataFrame, name: str, by: list[str] | None = None, position: str = "_pos", block: int = 1 << 16) -> DataFrame:
     """``name`` counts rows from 0 by ``position`` inside each value of ``by`` (or overall).
 
-    Positions are unique longs. Windows only number the rows of one block of positions; a small table of
-    block counts gives the offsets, so neither a large group nor the whole input meets in one task.
+    Positions are unique longs or the structs of source texts. Windows only number the rows of one block, a range
+    of longs or what one scan task read of a source; a small table of block counts gives the offsets, so neither
+    a large group nor the whole input meets in one task.
     """
     keys = list(by or [])
-    df = df.withColumn("_block", F.floor(F.col(position) / block))
+    if isinstance(df.schema[position].dataType, StructType):
+        # row numbers come from the scan: the task's number in the upper bits, so a block is a task's rows
+        where = F.struct(F.col(position)["rank"].alias("rank"), F.shiftright(F.col(position)["row"], 33).alias("task"))
+    else:
+        where = F.floor(F.col(position) / block)
+    df = df.withColumn("_block", where)
     counts = df.groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
     order = Window.partitionBy(*keys).orderBy("_block") if keys else Window.orderBy("_block")  # a row a block
     before = counts.select(*(F.col(k).alias(f"_of_{k}") for k in keys), F.col("_block").alias("_of_block"), (F.sum("_n").over(order) - F.col("_n")).alias("_before"))

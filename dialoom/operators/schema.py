@@ -31,19 +31,12 @@ def normalise_sessions(df: DataFrame) -> DataFrame:
     be non-blank; id and source must be present. Other columns pass.
     """
 
-    def turns_with(fn: Callable[[Column], Column]) -> Column:
-        return F.transform("turns", lambda t: F.struct(t["role"].alias("role"), fn(t["text"]).alias("text")))
-
-    def compose(part: DataFrame, nfc_udf) -> DataFrame:
-        # texts joined by a separator that no text keeps, so that one call serves a whole session
-        joined = F.array_join(F.transform("turns", lambda t: F.coalesce(t["text"], F.lit("\u0001"))), "\u0000")
-        part = part.withColumn("_texts", F.split(nfc_udf(joined), "\u0000"))
-        both = F.zip_with("turns", "_texts", lambda t, x: F.struct(t["role"].alias("role"), F.when(t["text"].isNotNull(), x).alias("text")))
-        return part.withColumn("turns", both).drop("_texts")
-
-    probe = F.array_join(F.transform("turns", lambda t: t["text"]), "")
-    df = nfc(df, compose, probe)
-    df = df.withColumn("turns", turns_with(lambda x: collapse(x)))
+    # texts joined by a separator that no text keeps, so that one call serves a whole session
+    joined = F.array_join(F.transform("turns", lambda t: F.coalesce(t["text"], F.lit("\u0001"))), "\u0000")
+    df = df.withColumn("_texts", F.split(nfc(joined), "\u0000"))
+    whole = F.zip_with("turns", "_texts", lambda t, x: F.struct(t["role"].alias("role"), F.when(t["text"].isNotNull(), collapse(x)).alias("text")))
+    # no turns join to one empty text, which is not a turn
+    df = df.withColumn("turns", F.when(F.size("turns") > 0, whole).otherwise(F.col("turns"))).drop("_texts")
     df = df.withColumn("scenario", F.when(_filled("scenario") == "", "unknown").otherwise(F.col("scenario")))
 
     def flaw(t: Column, i: Column) -> Column:
@@ -70,8 +63,7 @@ def session_fingerprint(turns: Column) -> Column:
 
 def normalise_utterances(df: DataFrame) -> DataFrame:
     """Normalised text and language, and ``_schema_error``; checked in the order id, source, license, text, language."""
-    df = nfc(df, lambda part, fn: part.withColumn("text", fn(F.col("text"))), F.col("text"))
-    df = df.withColumn("text", collapse(F.col("text"))).withColumn("language", F.lower(strip(F.col("language"))))
+    df = df.withColumn("text", collapse(nfc(F.col("text")))).withColumn("language", F.lower(strip(F.col("language"))))
     checks = [
         (_filled("id") != "", "id"),
         (_filled("source") != "", "source"),

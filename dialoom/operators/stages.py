@@ -41,10 +41,28 @@ def clean_utterances(raw: DataFrame, target: str, min_chars: int, max_chars: int
     return df.where(F.char_length("text").between(F.lit(min_chars), ceiling))
 
 
+def _text_key() -> Column:
+    """Equal for equal case-folded texts of one source."""
+    # a source's name and a text cannot run into each other: the separator occurs in no normalised text
+    return F.sha2(F.concat(F.col("source"), F.lit("\u0001"), casefold(F.col("text"))), 256)
+
+
 def distinct_utterances(df: DataFrame) -> DataFrame:
     """The first of equal case-folded texts in each source."""
-    # a source's name and a text cannot run into each other: the separator occurs in no normalised text
-    return first_wins(df, F.concat(F.col("source"), F.lit("\u0001"), casefold(F.col("text")))).where(~F.col("_later")).drop("_later")
+    return first_wins(df, _text_key()).where(~F.col("_later")).drop("_later")
+
+
+def mark_distinct(raw: DataFrame, target: str, min_chars: int, max_chars: int) -> DataFrame:
+    """All of ``raw``, texts normalised, with ``_distinct``: of allowed length and the first of its kind in its source.
+
+    The same rows as ``clean_utterances`` and ``distinct_utterances`` leave, without losing the others, so that
+    one plan serves the records and the counts.
+    """
+    df = normalise_column(raw, "text")
+    ceiling = F.when(F.col("language") == target, max_chars).otherwise(2 * max_chars)
+    df = df.withColumn("_sound", F.coalesce(F.char_length("text").between(F.lit(min_chars), ceiling), F.lit(False)))
+    df = first_wins(df, F.when(F.col("_sound"), _text_key()))
+    return df.withColumn("_distinct", F.col("_sound") & ~F.col("_later")).drop("_sound", "_later")
 
 
 def sample_sources(df: DataFrame, limit: int | None, seed: object) -> DataFrame:
@@ -61,27 +79,42 @@ def judge_topics(
     stems: Sequence[str] = BLOCKED_STEMS,
     letters: str = HANGUL_SYLLABLES,
 ) -> DataFrame:
-    """``_verdict``: unsafe (judged first), off_topic, or in_scope."""
+    """``_verdict``: unsafe (judged first), off_topic, or in_scope; null for a null text, one whose translation failed."""
     text = F.col("text")
     verdict = F.when(begins_with_stem(text, stems, letters), "unsafe").when(~in_scope(text, signal, min_chars, max_chars, min_hits, letters), "off_topic")
-    return df.withColumn("_verdict", verdict.otherwise("in_scope"))
+    return df.withColumn("_verdict", F.when(text.isNotNull(), verdict.otherwise("in_scope")))
 
 
-def utterance_records(judged: DataFrame) -> DataFrame:
-    """Records in scope with ids that count per source from 0 in input order."""
+def utterance_records(judged: DataFrame, keep_index: bool = False) -> DataFrame:
+    """Records in scope with ids that count per source from 0 in input order; ``keep_index`` leaves the count."""
     rows = numbered(judged.where("_verdict = 'in_scope'"), "_index", ["source"])
-    return rows.withColumn("id", F.format_string("%s-%06d", "source", "_index")).drop("_index", "_verdict")
+    rows = rows.withColumn("id", F.format_string("%s-%06d", "source", "_index")).drop("_verdict")
+    return rows if keep_index else rows.drop("_index")
+
 
+def source_stats(marked: DataFrame, judged: DataFrame | None = None) -> DataFrame:
+    """``source, raw, distinct, sampled, translated, translation_failed, in_scope, unsafe, off_topic``.
 
-def source_stats(raw: DataFrame, distinct: DataFrame, sampled: DataFrame, judged: DataFrame) -> DataFrame:
-    """``source, raw, distinct, sampled, in_scope, unsafe, off_topic``."""
-    marks = [(raw, "raw"), (distinct, "distinct"), (sampled, "sampled")]
-    parts = [d.select("source", F.lit(name).alias("mark")) for d, name in marks] + [judged.select("source", F.col("_verdict").alias("mark"))]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    names = ("raw", "distinct", "sampled", "in_scope", "unsafe", "off_topic")
-    return union.groupBy("source").agg(*(F.count_if(F.col("mark") == n).alias(n) for n in names))
+    ``marked`` has every row with ``_distinct``. ``judged`` are the sampled rows with their verdicts; without it all
+    distinct rows were judged, in ``marked`` itself, and one aggregate counts everything.
+    """
+    if judged is None:
+        counted = marked.groupBy("source").agg(F.count("*").alias("raw"), F.count_if("_distinct").alias("distinct"), *_verdict_counts(marked, F.col("_distinct")))
+    else:
+        counted = marked.groupBy("source").agg(F.count("*").alias("raw"), F.count_if("_distinct").alias("distinct"))
+        later = judged.groupBy(F.col("source").alias("_source")).agg(*_verdict_counts(judged, F.lit(True)))
+        counted = counted.join(later, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
+    return counted.select("source", *(F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("raw", "distinct", *COUNTS)))
+
+
+COUNTS = ("sampled", "translated", "translation_failed", "in_scope", "unsafe", "off_topic")
+
+
+def _verdict_counts(df: DataFrame, used: Column) -> list[Column]:
+    foreign = F.col("original_text").isNotNull() if "original_text" in df.columns else F.lit(False)
+    marks = {"sampled": F.lit(True), "translated": foreign & F.col("text").isNotNull(), "translation_failed": foreign & F.col("text").isNull()}
+    marks |= {v: F.col("_verdict") == v for v in COUNTS[3:]}
+    return [F.count_if(used & marks[n]).alias(n) for n in COUNTS]
 
 
 # -- overuse --------------------------------------------------------------------
@@ -177,11 +210,35 @@ def dialogue_requests(beats: DataFrame, per_situation: int, turns: Sequence[int]
     return rows.select(key.alias("key"), "beat_index", "beat", "n", choose(turns, "turns").alias("turns"), choose(flows, "flow").alias("flow"))
 
 
-def dialogue_sessions(answers: DataFrame, model: str) -> DataFrame:
-    """Answers (``beat_index, beat, n, text``) as sessions; ``_failure`` tells teacher_error and unparseable."""
+def dialogue_outcomes(answers: DataFrame) -> DataFrame:
+    """``answers`` (``beat_index, beat, n, text``) with ``turns`` and ``_failure``: teacher_error, unparseable or null."""
     df = answers.withColumn("turns", repair_dialogue(parse_dialogue(F.coalesce("text", F.lit("")))))
-    failure = F.when(F.col("text").isNull(), "teacher_error").when(F.size("turns") == 0, "unparseable")
-    df = df.withColumn("_failure", failure).withColumn("_pos", F.col("beat_index").cast("long") * (1 << 32) + F.col("n"))
+    return df.withColumn("_failure", F.when(F.col("text").isNull(), "teacher_error").when(F.size("turns") == 0, "unparseable"))
+
+
+def response_outcomes(utterances: DataFrame, answers: DataFrame) -> DataFrame:
+    """Every utterance with its ``_reply`` and ``_failure``: teacher_error (no answer), empty_reply or null."""
+    replies = answers.select("key", F.col("text").alias("_said"), *(c for c in ("completion_tokens",) if c in answers.columns))
+    joined = utterances.join(replies, F.col("id") == F.col("key"), "left").withColumn("_reply", reply_text(F.col("_said")))
+    return joined.withColumn("_failure", F.when(F.col("_said").isNull(), "teacher_error").when(F.col("_reply") == "", "empty_reply"))
+
+
+def call_counts(outcomes: DataFrame) -> DataFrame:
+    """One row: calls, failures of the teacher, completion tokens, and answers of no use."""
+    tokens = F.sum(F.when(F.col("_failure").isNull() | (F.col("_failure") != "teacher_error"), F.col("completion_tokens"))) if "completion_tokens" in outcomes.columns else F.lit(0)
+    failed = F.col("_failure")
+    return outcomes.agg(
+        F.count("*").alias("calls"),
+        F.count_if(failed == "teacher_error").alias("teacher_error"),
+        F.count_if(failed == "unparseable").alias("unparseable"),
+        F.count_if(failed == "empty_reply").alias("empty_reply"),
+        F.coalesce(tokens, F.lit(0)).cast("long").alias("completion_tokens"),
+    )
+
+
+def dialogue_sessions(answers: DataFrame, model: str) -> DataFrame:
+    """Answers as sessions; those that failed give none."""
+    df = dialogue_outcomes(answers).withColumn("_pos", F.col("beat_index").cast("long") * (1 << 32) + F.col("n"))
     good = numbered(df.where("_failure is null"), "_index")
     return good.select(
         F.format_string("dialogue-%06d", "_index").alias("id"),
@@ -199,8 +256,7 @@ def response_sessions(utterances: DataFrame, answers: DataFrame, model: str) ->
 
     Utterances without a usable reply give none; provenance columns come along.
     """
-    replies = answers.select("key", reply_text(F.col("text")).alias("_reply")).where("_reply <> ''")
-    joined = utterances.join(replies, F.col("id") == F.col("key"))
+    joined = response_outcomes(utterances, answers).where("_failure is null")
     turn = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("text"))
     return joined.select(
         F.concat(F.lit("respond-"), "id").alias("id"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, text
 from ..operators import export, gate, ledger, schema, stages
-from ..sources import extractors, teachers
+from ..sources import extractors, formats, teachers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -182,15 +182,23 @@ _SAID = f"said AS (SELECT conv_id, turn, {_collapse('text')} AS t FROM conversat
 _DOCS = "said AS (SELECT doc_id AS conv_id, 0 AS turn, text AS t FROM documents)"
 
 
-def _turn_rule(name: str, rule: rules.Rule, test_sql: str | None, source: str = "conversations") -> None:
-    """A rule over single assistant turns (or documents): how many each reason hits, and which."""
+def _turn_rule(name: str, rule: rules.Rule, test_sql: str | None, source: str = "conversations", more: tuple[str, ...] = ()) -> None:
+    """A rule over single assistant turns (or documents): how many each reason hits, and which.
+
+    ``more`` are texts that stand beside the table's where it holds none that the rule hits.
+    """
     cte = _SAID if source == "conversations" else _DOCS
+    if more:
+        rows = ", ".join("({}, 0, '{}')".format(-1 - k, x.replace("'", "''")) for k, x in enumerate(more))
+        cte = cte.replace("said AS (", "said AS (SELECT * FROM (VALUES " + rows + ") m(conv_id, turn, t) UNION ALL ", 1)
 
     def run(spark, sf_dir):
         if source == "conversations":
             df = _table(spark, sf_dir, "conversations").where("role = 'assistant'").select("conv_id", "turn", text.collapse(F.col("text")).alias("t"))
         else:
             df = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("conv_id"), F.lit(0).alias("turn"), F.col("text").alias("t"))
+        if more:
+            df = df.unionByName(spark.createDataFrame([(-1 - k, 0, x) for k, x in enumerate(more)], "conv_id long, turn int, t string"))
         turns = F.array(F.struct(F.lit("assistant").alias("role"), F.col("t").alias("text")))
         hit = F.array_join(F.array_compact(F.array(*(F.when(test(turns), F.lit(reason)) for reason, test in rule))), ",")
         return df.select("conv_id", F.col("turn").cast("long").alias("turn"), hit.alias("reasons")).where("reasons <> ''")
@@ -210,15 +218,31 @@ _turn_rule(
     rules.RULES["발화 길이"]("", "2~6문장"),
     "CASE WHEN len(list_filter(string_split_regex(t, '[.?!…]+'), lambda x: trim(x) <> '')) < 2 THEN 'assistant_too_short' WHEN len(list_filter(string_split_regex(t, '[.?!…]+'), lambda x: trim(x) <> '')) > 6 THEN 'assistant_too_long' ELSE '' END",
 )
-_turn_rule("gate_markdown", rules.RULES["마크다운"]("", "금지"), _if(f"regexp_matches(t, '{_MD}')", "markdown"))
+_turn_rule("gate_markdown", rules.RULES["마크다운"]("", "금지"), _if(f"regexp_matches(t, '{_MD}')", "markdown"), more=("**so** it is", "# Title", "- item", "see [here](x)", "plain * text", "1. one"))
 _turn_rule("gate_markdown_documents", rules.RULES["마크다운"]("", "금지"), _if(f"regexp_matches(t, '{_MD}')", "markdown"), "documents")
-_turn_rule("gate_script_latin", rules.RULES["문자"]("", "영문"), _if(r"regexp_matches(t, '[가-힣]')", "hangul_characters"), "documents")
+_turn_rule(
+    "gate_script_latin",
+    rules.RULES["문자"]("", "영문"),
+    r"array_to_string(list_filter([CASE WHEN regexp_matches(t, '[가-힣\x{1100}-\x{11ff}\x{3130}-\x{318f}]') THEN 'hangul_characters' END, CASE WHEN regexp_matches(t, '[\x{4e00}-\x{9fff}\x{3400}-\x{4dbf}]') THEN 'cjk_characters' END, CASE WHEN regexp_matches(t, '[\x{3040}-\x{30ff}]') THEN 'kana_characters' END], lambda x: x IS NOT NULL), ',')",
+    "documents",
+    ("안녕 there", "漢字", "かな and 漢字", "ㄱ", "only latin"),
+)
 _turn_rule("gate_script_hangul", [r for r in rules.RULES["문자"]("", "한글") if r[0] in ("latin_words", "no_hangul")], r"array_to_string(list_filter([CASE WHEN regexp_matches(t, '[A-Za-z]{2,}') THEN 'latin_words' END, CASE WHEN NOT regexp_matches(t, '[가-힣]') THEN 'no_hangul' END], lambda x: x IS NOT NULL), ',')")
-_turn_rule("gate_emoji_documents", rules.RULES["이모지"]("", "금지"), _if(r"regexp_matches(t, '[\p{So}\p{Sk}\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}]')", "emoji"), "documents")
-_turn_rule("gate_ellipsis", rules.RULES["말줄임표"]("", "최대 1개"), _if("length(t) - length(replace(t, '…', '')) > 1", "multiple_ellipsis"))
-_turn_rule("gate_role_label_documents", rules.RULES["역할 표기"]("", "금지"), _if(r"regexp_matches(t, '(?i)(^|\s)(U|A|P|사용자|유저|user|assistant|pet)\s*[:：]')", "role_label_in_text"), "documents")
+_turn_rule("gate_emoji_documents", rules.RULES["이모지"]("", "금지"), _if(r"regexp_matches(t, '[\p{So}\p{Sk}\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}]')", "emoji"), "documents", ("nice 😀", "sun ☀", "no sign", "a ^ b"))
+_turn_rule("gate_ellipsis", rules.RULES["말줄임표"]("", "최대 1개"), _if("length(t) - length(replace(t, '…', '')) > 1", "multiple_ellipsis"), more=("well… then… so", "well…", "……"))
+_turn_rule("gate_role_label_documents", rules.RULES["역할 표기"]("", "금지"), _if(r"regexp_matches(t, '(?i)(^|\s)(U|A|P|사용자|유저|user|assistant|pet)\s*[:：]')", "role_label_in_text"), "documents", ("U: hello", "he said assistant : yes", "menu", "친구 유저：응"))
 _turn_rule("gate_ai_claim_documents", rules.RULES["AI 자칭"]("", "금지"), _if(r"regexp_matches(t, 'AI|A\.I\.|인공지능|언어모델|언어 모델|챗봇|챗 봇|프로그램|컴퓨터|모델이야|시스템 프롬프트|학습 데이터|토큰')", "claims_to_be_ai"), "documents")
-_turn_rule("gate_repeat", rules.RULES["반복"]("", "금지"), None)  # back-references have no DuckDB form
+# back-references have no DuckDB form: words next to each other, and every chunk with the one behind it
+_turn_rule(
+    "gate_repeat",
+    rules.RULES["반복"]("", "금지"),
+    _if(
+        "len(list_filter(range(1, len(string_split(t, ' '))), lambda i: string_split(t, ' ')[i] = string_split(t, ' ')[i + 1] AND length(string_split(t, ' ')[i]) >= 2)) > 0 OR "
+        "len(list_filter(range(3, length(t) // 2 + 1), lambda n: len(list_filter(range(1, length(t) - 2 * n + 2), lambda i: substr(t, i, n) = substr(t, i + n, n))) > 0)) > 0",
+        "repeated_phrase",
+    ),
+    more=("so so it is", "놀자놀자놀자", "hahaha hahaha", "abcabc", "abab", "one two", "a a b"),
+)
 
 
 @query(
@@ -310,16 +334,19 @@ _SIGNAL = ["th", "er", "io", "ch", "eu", "ci"]
 _STEMS = ["idiot", "moron", "trash"]
 
 
+def _judge(df: DataFrame) -> DataFrame:
+    return stages.judge_topics(df.withColumn("text", F.lower("text")), _SIGNAL, 20, 1500, 4, _STEMS, LATIN)
+
+
 def _ingest(spark, sf_dir, limit: int = 12):
-    """``limit``: texts a source that are sampled and judged, 0 for all."""
-    raw = utterances(spark, sf_dir)
-    clean = stages.clean_utterances(raw, "en", 20, 2000)
-    distinct = stages.distinct_utterances(clean)
+    """All rows marked, the distinct ones, those sampled, and these judged. ``limit``: texts a source, 0 for all."""
+    marked = stages.mark_distinct(utterances(spark, sf_dir), "en", 20, 2000)
+    distinct = marked.where("_distinct").drop("_distinct")
     sampled = stages.sample_sources(distinct, limit, 11)
-    judged = stages.judge_topics(sampled.withColumn("text", F.lower("text")), _SIGNAL, 20, 1500, 4, _STEMS, LATIN)
-    return raw, distinct, sampled, judged
+    return marked, distinct, sampled, _judge(sampled)
 
 
+_STATS = ("source", "raw", "distinct", "sampled", "in_scope", "unsafe", "off_topic")
 _JUDGED = f"""runs AS (SELECT *, lower(t) AS lt, regexp_extract_all(lower(t), '[{LATIN}]+') AS tok FROM samp),
 judged AS (
   SELECT *, CASE WHEN len(list_filter(tok, lambda w: starts_with(w, 'idiot') OR starts_with(w, 'moron') OR starts_with(w, 'trash'))) > 0 THEN 'unsafe'
@@ -364,7 +391,8 @@ SELECT d.source, d.n AS raw, (SELECT count(*) FROM dist x WHERE x.source = d.sou
  (SELECT count(*) FROM judged x WHERE x.source = d.source AND verdict = 'off_topic') AS off_topic FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1) d""",
 )
 def ingest_per_source_stats(spark, sf_dir):
-    return stages.source_stats(*_ingest(spark, sf_dir))
+    marked, _, _, judged = _ingest(spark, sf_dir)
+    return stages.source_stats(marked, judged).select(*_STATS)
 
 
 @query("utterance_records", f"WITH {_CLEAN}, {_DISTINCT}, {_SAMPLED}, {_JUDGED} SELECT format('{{}}-{{:06d}}', source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) AS id, doc_id AS pos FROM judged WHERE verdict = 'in_scope'")
@@ -389,7 +417,8 @@ SELECT d.source, d.n AS raw, (SELECT count(*) FROM dist x WHERE x.source = d.sou
  (SELECT count(*) FROM judged x WHERE x.source = d.source AND verdict = 'off_topic') AS off_topic FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1) d""",
 )
 def ingest_per_source_stats_all(spark, sf_dir):
-    return stages.source_stats(*_ingest(spark, sf_dir, 0))
+    marked = stages.mark_distinct(utterances(spark, sf_dir), "en", 20, 2000)
+    return stages.source_stats(_judge(marked)).select(*_STATS)
 
 
 @query("utterance_records_all", f"WITH {_CLEAN}, {_DISTINCT}, {_EVERY}, {_JUDGED} SELECT format('{{}}-{{:06d}}', source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) AS id, doc_id AS pos FROM judged WHERE verdict = 'in_scope'")
@@ -407,6 +436,25 @@ def translate_foreign(spark, sf_dir):
     return teachers.translate(df, teachers.echo, "en").select(F.col("_pos").alias("pos"), "text", "language", "original_language")
 
 
+def _few_fail(requests: DataFrame) -> DataFrame:
+    """The offline teacher, failing where a text's length is a multiple of seven."""
+    said = teachers.echo(requests).withColumnRenamed("text", "_said")
+    named = requests.select(F.col("key").alias("_asked"), F.char_length("user").alias("_n"))
+    return said.join(named, F.col("key") == F.col("_asked")).select("key", F.when(F.col("_n") % 7 != 0, F.col("_said")).alias("text"), "completion_tokens")
+
+
+@query(
+    "ingest_translation_stats",
+    f"""WITH {_CLEAN}, {_DISTINCT} SELECT d.source, d.n AS raw, count(x.doc_id) AS "distinct", count(x.doc_id) AS sampled, count(*) FILTER (x.lang <> 'en' AND length(x.t) % 7 <> 0) AS translated,
+  count(*) FILTER (x.lang <> 'en' AND length(x.t) % 7 = 0) AS translation_failed FROM (SELECT source, count(*) AS n FROM documents GROUP BY 1) d LEFT JOIN dist x ON x.source = d.source GROUP BY 1, 2""",
+)
+def ingest_translation_stats(spark, sf_dir):
+    """What is sampled, translated and lost in translation, by source."""
+    marked = stages.mark_distinct(utterances(spark, sf_dir), "en", 20, 2000)
+    done = teachers.translate(marked.where("_distinct"), _few_fail, "en")
+    return stages.source_stats(marked, _judge(done)).select("source", "raw", "distinct", "sampled", "translated", "translation_failed")
+
+
 # -- extractors -----------------------------------------------------------------------
 
 _CONV_LISTS = "SELECT conv_id, list({'role': role, 'content': text} ORDER BY turn) AS conv, list(text ORDER BY turn) AS items FROM conversations GROUP BY conv_id"
@@ -429,6 +477,26 @@ def extract_list(spark, sf_dir):
     return extractors.extract(_conv_rows(spark, sf_dir), "list", ["items"], {"keep": "even"}).select(F.col("_row").alias("row"), F.col("_item").alias("item"), "text")
 
 
+@query(
+    "extract_list_long",
+    f"""WITH w AS (SELECT doc_id, string_split(text, ' ') AS w FROM documents WHERE text IS NOT NULL), e AS (SELECT doc_id, i, {_collapse("w[i]")} AS t FROM w, unnest(range(1, len(w) + 1)) u(i)),
+f AS (SELECT *, row_number() OVER (PARTITION BY {_fold("t")} ORDER BY doc_id, i) AS r FROM e WHERE length(t) BETWEEN 1 AND 60)
+SELECT format('words-{{:06d}}', row_number() OVER (ORDER BY doc_id, i) - 1) AS id, t AS text FROM f WHERE r = 1""",
+)
+def extract_list_long(spark, sf_dir):
+    """Lists of up to 20,000 items, their distinct texts numbered in order."""
+    rows = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_row"), F.split("text", " ").alias("words"))
+    texts = extractors.extract(rows, "list", ["words"], {"keep": "all"})
+    distinct = stages.distinct_utterances(stages.clean_utterances(extractors.utterances(texts, "words", "en", "cc0"), "en", 1, 60))
+    return stages.utterance_records(distinct.withColumn("_verdict", F.lit("in_scope"))).select("id", "text")
+
+
+@query("format_parquet_field", "SELECT text FROM (SELECT trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text FROM documents) WHERE text <> ''")
+def format_parquet_field(spark, sf_dir):
+    rows = formats.read(spark, "parquet", f"{sf_dir}/documents.parquet", ["text"])
+    return extractors.extract(rows, "field", ["text"]).select("text")
+
+
 @query("extract_regex_all", "WITH m AS (SELECT page_id, regexp_extract_all(html, '(?s)<p>(.*?)</p>', 1) AS f FROM pages) SELECT page_id AS row, (i - 1)::INTEGER AS item, trim(f[i], ' ' || chr(10) || chr(13) || chr(9)) AS text FROM m, unnest(range(1, len(f) + 1)) u(i) WHERE trim(f[i], ' ' || chr(10) || chr(13) || chr(9)) <> ''")
 def extract_regex(spark, sf_dir):
     rows = _table(spark, sf_dir, "pages").select(F.col("page_id").alias("_row"), "html")
@@ -488,6 +556,12 @@ def mix_shortfall(spark, sf_dir):
     return stages.shortfall(_pool(spark, sf_dir), stages.bucket_targets(spark, RATIOS, 80))
 
 
+@query("mix_shortfall_large", f"WITH {_POOL} SELECT w.bucket, w.want - coalesce(n, 0) AS shortfall FROM (VALUES ('a', 55000000), ('b', 25000000), ('c', 20000000)) w(bucket, want) LEFT JOIN (SELECT bucket, count(*) AS n FROM pool GROUP BY 1) p ON p.bucket = w.bucket WHERE w.want > coalesce(n, 0)")
+def mix_shortfall_large(spark, sf_dir):
+    """More is wanted than there is in any bucket."""
+    return stages.shortfall(_pool(spark, sf_dir), stages.bucket_targets(spark, RATIOS, 100_000_000))
+
+
 _SPLIT = f"WITH {_DRAWN}, ordered AS (SELECT *, row_number() OVER (ORDER BY sha256('5:split:' || id), conv_id) - 1 AS place, count(*) OVER () AS n FROM drawn), split AS (SELECT *, CASE WHEN place < floor(n * 0.1) THEN 'val' WHEN place < 2 * floor(n * 0.1) THEN 'test' ELSE 'train' END AS split FROM ordered)"
 
 
@@ -495,6 +569,20 @@ def _split(spark, sf_dir) -> DataFrame:
     return stages.split_sessions(stages.draw(_pool(spark, sf_dir), RATIOS, 80, 5), SPLIT, 5)
 
 
+_ALL = f"WITH {_POOL}, ordered AS (SELECT *, row_number() OVER (ORDER BY sha256('5:split:' || id), conv_id) - 1 AS place, count(*) OVER () AS n FROM pool), split AS (SELECT *, CASE WHEN place < floor(n * 0.1) THEN 'val' WHEN place < 2 * floor(n * 0.1) THEN 'test' ELSE 'train' END AS split FROM ordered)"
+
+
+@query("split_assign_all", f"{_ALL} SELECT id, split FROM split")
+def split_assign_all(spark, sf_dir):
+    """Every session of the pool, without a draw before."""
+    return stages.split_sessions(_pool(spark, sf_dir), SPLIT, 5).select("id", "split")
+
+
+@query("selected_by_bucket_all", f"WITH {_POOL} SELECT bucket AS name, count(*) AS n FROM pool GROUP BY 1")
+def selected_by_bucket_all(spark, sf_dir):
+    return stages.selected_counts(_pool(spark, sf_dir))
+
+
 @query("split_assign", f"{_SPLIT} SELECT id, split FROM split")
 def split_assign(spark, sf_dir):
     return _split(spark, sf_dir).select("id", "split")

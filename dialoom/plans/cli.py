@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+import time
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import SparkSession
 from ..functions.rules import PersonaError
 from . import config as configs
 from . import pipeline
-from .registry import GROUPS, PluginError, load_plugins
+from .registry import GROUPS, PluginError
 
 
 def session() -> SparkSession:
@@ -31,6 +32,9 @@ def _parser() -> argparse.ArgumentParser:
             c.add_argument("--name")
         if name == "sources":
             c.add_argument("--sample", type=int, default=3)
+        if name == "status":
+            c.add_argument("--watch", action="store_true")
+            c.add_argument("--every", type=float, default=2.0)
     commands.add_parser("plugins")
     init = commands.add_parser("init")
     init.add_argument("--profile", required=True)
@@ -54,7 +58,6 @@ def main(argv: list[str] | None = None) -> int:
             out.write_text(GROUPS["profiles"].get(args.profile).document(args.name), encoding="utf-8")
             return 0
         config = configs.load(args.config)
-        load_plugins(config.plugins, str(config.root))
         config.validate()
         spark = session()
         if args.command == "check":
@@ -69,7 +72,12 @@ def main(argv: list[str] | None = None) -> int:
             say(pipeline.sample_sources(spark, config, args.sample))
         else:
             say(pipeline.status(spark, config))
+            while args.watch:  # until interrupted
+                time.sleep(args.every)
+                say(pipeline.status(spark, config))
         return 0
+    except KeyboardInterrupt:
+        return 0 if getattr(args, "watch", False) else 1
     except configs.ConfigError as e:
         print(f"configuration: {e}", file=sys.stderr)
         return 2

@@ -10,6 +10,8 @@ from dataclasses import MISSING, dataclass, field, fields
 from pathlib import Path
 from typing import Any
 
+from .registry import GROUPS, load_plugins
+
 #: Stages in the order of their data; a stage needs those named.
 NEEDS = {"ingest": (), "dialogue": (), "respond": ("ingest",), "filter": ("dialogue", "respond"), "assemble": ("filter",), "export": ("assemble",)}
 SESSION_STAGES = ("dialogue", "respond")
@@ -143,9 +145,12 @@ class Pipeline:
     sources: dict[str, Source]
     stages: dict[str, Any]
     plugins: tuple[str, ...] = ()
+    path: Path | None = None
+    raw: dict = field(default_factory=dict)
 
     def session_stages(self) -> list[str]:
-        return [s for s in self.stages if s in SESSION_STAGES]
+        plugged = GROUPS["stages"].mapping()
+        return [s for s in self.stages if s in SESSION_STAGES or (s in plugged and plugged[s].sessions)]
 
     def validate(self) -> None:
         """What stages ask of each other, before any job."""
@@ -163,12 +168,18 @@ class Pipeline:
         if set(a.split) != {"train", "val", "test"} or abs(sum(a.split.values()) - 1) > 1e-6:
             raise ConfigError("stages.assemble.split needs train, val and test adding up to 1")
 
+    def _needs(self, stage: str) -> tuple[str, ...]:
+        plugged = GROUPS["stages"].mapping()
+        if stage == "filter":  # after every stage that makes sessions
+            return tuple(self.session_stages())
+        return plugged[stage].needs if stage in plugged else NEEDS[stage]
+
     def order(self, only: str | None = None) -> list[str]:
         """Configured stages, each after those it needs."""
         done: list[str] = []
         rest = list(self.stages)
         while rest:
-            ready = [s for s in rest if not set(NEEDS.get(s, ())) & set(rest)]
+            ready = [s for s in rest if not set(self._needs(s)) & set(rest)]
             if not ready:
                 raise ConfigError(f"stages need each other: {rest}")
             done += ready
@@ -178,7 +189,8 @@ class Pipeline:
         return [s for s in done if only in (None, s)]
 
 
-def parse(raw: Any, root: Path) -> Pipeline:
+def parse(raw: Any, root: Path, path: Path | None = None) -> Pipeline:
+    """Checked settings; plug-ins are loaded first, since they may bring stages."""
     if not isinstance(raw, Mapping):
         raise ConfigError("the configuration must be an object")
     for key in ("profile", "language", "seed", "persona_doc", "student", "stages"):
@@ -187,18 +199,32 @@ def parse(raw: Any, root: Path) -> Pipeline:
     allowed = {"profile", "language", "seed", "persona_doc", "student", "stages", "teachers", "sources", "plugins", "data_root", "datasets_root"}
     if unknown := sorted(set(raw) - allowed):
         raise ConfigError(f"unknown keys {unknown}")
+    load_plugins(raw.get("plugins", ()), str(root))
     sources = {n: settings(Source, s, f"source {n!r}") for n, s in raw.get("sources", {}).items()}
     for n, s in sources.items():
         s.check(f"source {n!r}")
-    stages = {}
+    stages, plugged = {}, GROUPS["stages"].mapping()
     for name, values in raw["stages"].items():
-        if name not in STAGES:
-            raise ConfigError(f"unknown stage {name!r}; known: {list(STAGES)}")
-        s = stages[name] = settings(STAGES[name], values, f"stages.{name}")
+        if name not in STAGES and name not in plugged:
+            raise ConfigError(f"unknown stage {name!r}; known: {[*STAGES, *plugged]}")
+        s = stages[name] = settings(plugged[name].settings if name in plugged else STAGES[name], values, f"stages.{name}")
+        if name in plugged:
+            continue
         for key, least in _LEAST.items():
             if hasattr(s, key):
                 number(f"stages.{name}.{key}", getattr(s, key), least, whole=True)
     teachers = {n: settings(Teacher, t, f"teacher {n!r}") for n, t in raw.get("teachers", {}).items()}
+    if (d := stages.get("dialogue")) is not None and d.turns is not None:
+        if not isinstance(d.turns, list) or not d.turns:
+            raise ConfigError(f"stages.dialogue.turns: a list of whole numbers is needed, not {d.turns!r}")
+        for turn in d.turns:
+            number("stages.dialogue.turns", turn, 1, whole=True)
+    if (a := stages.get("assemble")) is not None:
+        for key, shares in (("ratios", a.ratios), ("split", a.split)):
+            if not isinstance(shares, Mapping) or not shares:
+                raise ConfigError(f"stages.assemble.{key}: an object of shares is needed, not {shares!r}")
+            for name, share in shares.items():
+                number(f"stages.assemble.{key}.{name}", share, 0)
     for name, s in stages.items():
         if (teacher := getattr(s, "teacher", None)) is not None and teacher not in teachers:
             raise ConfigError(f"stages.{name}: no teacher {teacher!r}")
@@ -220,6 +246,8 @@ def parse(raw: Any, root: Path) -> Pipeline:
         sources=sources,
         stages=stages,
         plugins=tuple(raw.get("plugins", ())),
+        path=path,
+        raw=dict(raw),
     )
 
 
@@ -231,4 +259,4 @@ def load(path: str | Path) -> Pipeline:
         raise ConfigError(f"cannot read {path}: {e}") from e
     except ValueError as e:
         raise ConfigError(f"{path} is not JSON: {e}") from e
-    return parse(raw, path.resolve().parent)
+    return parse(raw, path.resolve().parent, path.resolve())

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import importlib
 import sys
-from collections.abc import Iterable
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from importlib import metadata
+from pathlib import Path
 from typing import Any
 
 from ..functions.rules import RULES
@@ -72,6 +75,11 @@ class Registry:
             raise PluginError(f"{self.group}: {name!r} is not registered; there are {self.names()}")
         return self._entries[name].value
 
+    def mapping(self) -> dict[str, Any]:
+        """Names to what is registered now."""
+        self._look()
+        return {n: e.value for n, e in self._entries.items()}
+
     def names(self) -> list[str]:
         self._look()
         return sorted(self._entries)
@@ -100,6 +108,39 @@ GROUPS = {
 }
 
 
+@dataclass(frozen=True)
+class StagePlugin:
+    """A stage of a plug-in: ``run`` takes the pipeline's ``Run`` and returns counts; it runs after ``needs``.
+
+    ``settings`` is a dataclass for its part of the configuration. One with ``sessions`` publishes a session table
+    under its name in ``raw``, which filter and assemble then take like those of dialogue and respond.
+    """
+
+    name: str
+    run: Callable[[Any], dict]
+    settings: type
+    needs: tuple[str, ...] = ()
+    sessions: bool = False
+
+
+def ship(context, modules: Iterable[str]) -> None:
+    """Give executors the modules of plug-ins: teachers and UDFs of theirs run there."""
+    for name in modules:
+        origin = getattr(sys.modules.get(name), "__file__", None)
+        if origin is None:
+            continue
+        path = Path(origin)
+        if path.name != "__init__.py":
+            context.addPyFile(str(path))
+            continue
+        top = path.parents[name.count(".") + 1]
+        archive = Path(tempfile.mkdtemp(prefix="dialoom-plugin-")) / f"{name}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for part in sorted(path.parent.rglob("*.py")):
+                z.write(part, part.relative_to(top))
+        context.addPyFile(str(archive))
+
+
 def load_plugins(modules: Iterable[str], root: str | None = None) -> None:
     """Import modules that register extensions; ``root`` is importable meanwhile."""
     added = root is not None and root not in sys.path

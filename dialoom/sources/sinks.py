@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
-    """Write beside the target and rename: a failing job leaves the previous output as it was."""
+    """Write beside the target and rename: a failing job leaves the previous output as it was.
+
+    The previous output is moved aside, not deleted, until the new one is in its place.
+    """
     spark = df.sparkSession
     staged = f"{path}.tmp-{uuid.uuid4().hex}"
     writer = df.write.format(fmt)
@@ -24,10 +27,16 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
     try:
         writer.save(staged)
-        if fs.exists(hadoop(path)):
-            fs.delete(hadoop(path), True)
+        previous = f"{path}.old-{uuid.uuid4().hex}"
+        replaces = fs.exists(hadoop(path))
+        if replaces and not fs.rename(hadoop(path), hadoop(previous)):
+            raise OSError(f"could not move {path} aside")
         if not fs.rename(hadoop(staged), hadoop(path)):
+            if replaces:
+                fs.rename(hadoop(previous), hadoop(path))
             raise OSError(f"could not publish {path}")
+        if replaces:
+            fs.delete(hadoop(previous), True)
     finally:
         if fs.exists(hadoop(staged)):
             fs.delete(hadoop(staged), True)
@@ -74,5 +83,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path, mode="FAILFAST").withColumn("_pos", F.monotonically_increasing_id())
 
 
-def remove(path: str | Path) -> None:
-    shutil.rmtree(path, ignore_errors=True)
+def publish_folder(staged: Path, path: Path) -> None:
+    """Put a finished folder in the place of an older one."""
+    previous = path.with_name(f"{path.name}.old-{uuid.uuid4().hex}")
+    replaces = path.exists()
+    if replaces:
+        os.replace(path, previous)
+    os.replace(staged, path)
+    if replaces:
+        shutil.rmtree(previous)

@@ -10,13 +10,13 @@ import json
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import language_name, reply_text, strip
 
 ANSWER = "key string, text string, completion_tokens int"
 
@@ -42,6 +42,22 @@ def echo(requests: DataFrame) -> DataFrame:
     return requests.select("key", text.alias("text"), F.lit(8).alias("completion_tokens"))
 
 
+class FakeTeacher:
+    """Answers from a table of texts by request key, or one default; for tests of stages. A text of None is a failure."""
+
+    def __init__(self, replies: Mapping[str, str | None] | None = None, default: str | None = ""):
+        self.replies, self.default, self.checked = dict(replies or {}), default, False
+
+    def check(self) -> None:
+        self.checked = True
+
+    def generate(self, requests: DataFrame) -> DataFrame:
+        said = requests.sparkSession.createDataFrame(list(self.replies.items()) or [("", None)], "_key string, _text string")
+        joined = requests.join(said, F.col("key") == F.col("_key"), "left")
+        text = F.when(F.col("_key").isNotNull(), F.col("_text")).otherwise(F.lit(self.default))
+        return joined.select("key", text.alias("text"), F.coalesce(F.char_length(text), F.lit(0)).alias("completion_tokens"))
+
+
 class ChatEndpoint:
     """An endpoint that speaks the chat-completions protocol."""
 
@@ -91,14 +107,26 @@ class ChatEndpoint:
         return requests.select("key", "system", "user").mapInPandas(run, ANSWER)
 
 
+def translate_system(source: Column, target: Column) -> Column:
+    """What a translating teacher is told, by language codes."""
+    return F.format_string("%s 문장을 %s 구어체로 자연스럽게 옮긴다.\n뜻만 옮기고 한 줄만 쓴다. 설명, 따옴표, 역할 표기는 쓰지 않는다.", language_name(source), language_name(target))
+
+
+def translate_user(text: Column) -> Column:
+    return text
+
+
 def translate(utterances: DataFrame, answer, target: str) -> DataFrame:
     """Texts of other languages through the teacher: ``text`` replaced, the original kept; failed ones null.
 
-    ``answer`` takes requests and gives answers. Rows already in the target language pass by.
+    ``answer`` takes requests and gives answers. The system message names both languages; of the answer the first
+    line counts, without role label and quotes. Rows already in the target language pass by.
     """
     foreign = utterances.where(F.col("language") != target).withColumn("_key", F.concat_ws(":", "source", F.col("_pos").cast("string")))
-    asked = foreign.select(F.col("_key").alias("key"), F.lit("").alias("system"), F.col("text").alias("user"))
-    got = answer(asked).select(F.col("key").alias("_of"), F.when(F.trim("text") != "", F.trim("text")).alias("_new"))
+    system = translate_system(F.col("language"), F.lit(target))
+    asked = foreign.select(F.col("_key").alias("key"), system.alias("system"), translate_user(F.col("text")).alias("user"))
+    got = answer(asked).select(F.col("key").alias("_of"), reply_text(F.col("text")).alias("_new"))
+    got = got.withColumn("_new", F.when(F.col("_new") != "", F.col("_new")))
     done = foreign.join(got, F.col("_key") == F.col("_of"), "left")
     done = done.withColumn("original_text", F.col("text")).withColumn("original_language", F.col("language")).withColumn("text", F.col("_new")).withColumn("language", F.lit(target))
     own = utterances.where(F.col("language") == target).withColumn("original_text", F.lit(None).cast("string")).withColumn("original_language", F.lit(None).cast("string"))

@@ -1,6 +1,8 @@
 import json
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from dialoom.sources import extractors, formats, sinks
 
@@ -65,3 +67,50 @@ def test_sinks(spark, tmp_path):
         sinks.write_table(df.selectExpr("raise_error('no') as x"), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
     assert sorted(p.name for p in tmp_path.iterdir()) == ["o.jsonl", "t"]
+
+
+def test_positions_are_unique_and_in_order(spark, tmp_path):
+    """Long lists, many fields, many partitions and many sources, against brute force."""
+    from dialoom.operators import ledger, stages
+
+    rng = random.Random(6)
+    sources, raw = {}, None
+    for rank in range(20):
+        rows = [{f"f{k}": [f"t{rng.randrange(300)} of" for _ in range(600 if rank == 0 and row == 0 else rng.randint(0, 2))] for k in range(20 if rank < 2 else 1)} for row in range(3 if rank else 2)]
+        sources[f"s{rank}"] = rows
+        path = tmp_path / f"s{rank}.jsonl"
+        path.write_text("\n".join(json.dumps(r) for r in rows), encoding="utf-8")
+        fields = sorted({f for r in rows for f in r}, key=lambda f: int(f[1:]))
+        texts = extractors.extract(formats.read(spark, "jsonl", str(path), fields), "list", fields, {"keep": "all"}, True)
+        part = extractors.utterances(texts, f"s{rank}", "en", "cc0", None, rank)
+        raw = part if raw is None else raw.unionByName(part)
+    raw = raw.drop("_row", "_field", "_item")
+    want = {}
+    for name, rows in sources.items():
+        for r in rows:
+            for f in sorted(r, key=lambda f: int(f[1:])):
+                want.setdefault(name, []).extend(r[f])
+    rows = raw.orderBy("_pos").collect()
+    assert [(r["source"], r["text"]) for r in rows] == [(n, t) for n, ts in want.items() for t in ts]
+    assert len({tuple(r["_pos"]) for r in rows}) == len(rows)
+    distinct = stages.distinct_utterances(stages.clean_utterances(raw, "en", 1, 60)).withColumn("_verdict", F.lit("in_scope"))
+    got = stages.utterance_records(distinct, keep_index=True).orderBy("_pos").collect()
+    assert [(r["source"], r["text"], r["_index"]) for r in got] == [(n, t, k) for n, ts in want.items() for k, t in enumerate(dict.fromkeys(ts))]
+
+
+def test_positions_over_many_partitions(spark):
+    from dialoom.operators import stages
+
+    df = spark.range(0, 4000, 1, 200).select(F.monotonically_increasing_id().alias("_row"), F.lit(0).alias("_field"), F.lit(0).alias("_item"), F.concat(F.lit("t"), (F.col("id") % 900).cast("string")).alias("text"))
+    both = extractors.utterances(df, "a", "en", "l", None, 0).unionByName(extractors.utterances(df, "b", "en", "l", None, 1))
+    records = stages.utterance_records(stages.distinct_utterances(both).withColumn("_verdict", F.lit("in_scope")))
+    rows = records.orderBy("_pos").collect()
+    assert [(r["id"], r["text"]) for r in rows] == [(f"{s}-{k:06d}", f"t{k}") for s in "ab" for k in range(900)]
+
+
+def test_a_failed_publication_keeps_the_old_table(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "k int")
+    sinks.write_table(df, str(tmp_path / "t"))
+    sinks.write_table(df.union(df), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 2
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]

@@ -102,3 +102,49 @@ def test_stream(spark, tmp_path):
     publish_stream(stream, gate.gate(F.col("turns"), {}), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
     assert [r["id"] for r in spark.read.parquet(str(tmp_path / "out/kept")).collect()] == ["a"]
     assert spark.read.parquet(str(tmp_path / "out/rejected")).count() == 2
+
+
+def test_translation_is_asked_as_such(spark, endpoint):
+    t = teachers.ChatEndpoint(endpoint, "m")
+    rows = [("hello", "s", "en", 0), ("gone", "s", "ja", 1), ("안녕", "s", "ko", 2), ("empty", "s", "en", 3)]
+    df = spark.createDataFrame(rows, "text string, source string, language string, _pos long")
+    asked = []
+
+    def answer(requests):
+        asked.extend(requests.collect())
+        said = F.when(F.col("user") == "hello", F.lit('\n A: "안녕 친구" \n설명: 인사')).when(F.col("user") == "empty", F.lit(' "" '))
+        return requests.select("key", said.alias("text"), F.lit(1).alias("completion_tokens"))
+
+    got = {r["_pos"]: (r["text"], r["original_text"], r["original_language"], r["language"]) for r in teachers.translate(df, answer, "ko").collect()}
+    assert got == {0: ("안녕 친구", "hello", "en", "ko"), 1: (None, "gone", "ja", "ko"), 2: ("안녕", None, None, "ko"), 3: (None, "empty", "en", "ko")}
+    systems = {r["user"]: r["system"] for r in asked}
+    assert "영어" in systems["hello"] and "일본어" in systems["gone"] and all("한국어" in x for x in systems.values())
+    over_http = teachers.translate(df, t.generate, "ko").where("original_text = 'hello'").first()
+    assert over_http["text"] == "hello!"
+
+
+def test_failures_are_told_apart(spark):
+    from dialoom.operators import stages
+
+    teacher = teachers.FakeTeacher({"a": "A: 응", "b": None, "c": ' "" '}, "U: 안녕\nA: 응")
+    said = spark.createDataFrame([(k, "s", k) for k in "abcd"], "key string, system string, user string")
+    answers = teacher.generate(said)
+    users = spark.createDataFrame([(k,) for k in "abcde"], "id string")
+    counts = stages.call_counts(stages.response_outcomes(users, answers)).first().asDict()
+    assert counts == {"calls": 5, "teacher_error": 2, "unparseable": 0, "empty_reply": 1, "completion_tokens": 4 + 4 + 10}
+    beats = said.select("key", F.lit(0).alias("beat_index"), F.lit("x").alias("beat"), F.lit(0).alias("n")).join(answers, "key")
+    counts = stages.call_counts(stages.dialogue_outcomes(beats)).first().asDict()
+    assert (counts["calls"], counts["teacher_error"], counts["unparseable"]) == (4, 1, 2)
+
+
+def test_stream_drops_copies_of_earlier_batches(spark, tmp_path):
+    turns = [[("user", f"u{k}"), ("assistant", f"a{k % 3}")] for k in range(4)]
+    rows = [[("x0", "s", "c", "l", ["m"], turns[0], 0), ("x1", "s", "c", "l", ["m"], turns[1], 1)], [("x2", "s", "c", "l", ["m"], turns[1], 2), ("x3", "s", "c", "l", ["m"], turns[2], 3)]]
+    for k, part in enumerate(rows):
+        spark.createDataFrame(part, S).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query = publish_stream(spark.readStream.schema(S).parquet(str(tmp_path / "in")), F.array().cast("array<string>"), str(tmp_path / "out"), str(tmp_path / "c"))
+        query.awaitTermination()
+    kept = spark.read.parquet(str(tmp_path / "out" / "kept"))
+    assert sorted(r["id"] for r in kept.collect()) == ["x0", "x1", "x3"]
+    lost = spark.read.parquet(str(tmp_path / "out" / "rejected")).collect()
+    assert [(r["id"], r["_reject_reasons"]) for r in lost] == [("x2", ["duplicate"])]
