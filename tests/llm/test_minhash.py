@@ -89,3 +89,43 @@ def test_repeated_rows_null_ids_empty(spark):
     assert sorted((r["doc_id"], r["component_id"], r["kept"]) for r in rows if r["doc_id"] is not None) == sorted([(0, 0, True), (1, 0, False), (2, 2, True)] * 2)
     assert sorted(r["component_id"] for r in rows if r["doc_id"] is None) == [0, 0, 2]
     assert minhash.near_duplicates(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_whole_table_with_many_near_copies(spark, percent):
+    """All documents of the smallest table and copies of them with words changed, so that many pairs lie near the threshold."""
+    rng = random.Random(percent)
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()]
+    for text in texts[:80]:
+        words_ = (text or "").split()
+        for _ in range(3 if len(words_) > 30 else 0):
+            copy = list(words_)
+            for _ in range(rng.randint(0, max(1, len(copy) // 25))):
+                copy[rng.randrange(len(copy))] = f"new{rng.randrange(50)}"
+            texts.append(" ".join(copy))
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(documents(spark, texts), percent).collect()}
+    want = brute(texts, percent)
+    linked = sum(not kept for _, _, kept in want)
+    found = sum(not r["kept"] for r in got.values())
+    print(f"documents linked to an earlier one at {percent}: {found} of {linked}")
+    assert linked > 60 and [(got[k]["n_shingles"], got[k]["component_id"], got[k]["kept"]) for k in range(len(texts))] == want
+
+
+def test_members_of_a_bucket_that_only_link_with_each_other(spark):
+    """Pairs whose bucket's head is no link of theirs are found through labels, in one bucket or many."""
+    rng = random.Random(12)
+    texts = []
+    for _ in range(6):
+        base = words(rng, 150, 5000).split()
+        for spread in (26, 26, 26):  # siblings of a hidden base: alike enough for shared buckets, no links
+            cousin = list(base)
+            for at in rng.sample(range(150), spread // 5):
+                cousin[at] = f"c{rng.randrange(9999)}"
+            for _ in range(3):  # near copies of each sibling
+                copy = list(cousin)
+                copy[rng.randrange(150)] = f"d{rng.randrange(9999)}"
+                texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(documents(spark, texts)).collect()}
+    want = brute(texts, 85)
+    assert len({c for _, c, _ in want}) > 8 and [(got[k]["n_shingles"], got[k]["component_id"], got[k]["kept"]) for k in range(len(texts))] == want
