@@ -1,7 +1,9 @@
 """The corpus pipeline: toxicity, near duplicates, repeated passages, mixing, packing.
 
 Every stage takes ``(spark, docs, sf_dir)`` with the columns of ``documents`` and works on all that its
-predecessor kept; all but the last return those columns.
+predecessor kept; all but the last return those columns. In every stage null texts count as empty, null ids,
+sources and languages pass, repeated rows are rows, an empty table gives an empty table, texts of any length
+are read whole, and columns beyond those of ``documents`` are neither read nor returned, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ def _documents(df: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the learned lexicon scores at 0.5 or more go."""
+    """Documents that the learned lexicon scores at 0.5 or more go; without usable labels none does. Copies share a score."""
     labels = toxicity.training_labels(table(spark, sf_dir, "labels"))
     lexicon = toxicity.fit(docs, labels)
     scored = toxicity.score_documents(docs, lexicon, carry=("text", "lang", "source"))
@@ -53,14 +55,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes covered by a 200-byte string that starts elsewhere too go; emptied documents go with them."""
+    """Bytes covered by a 200-byte string that starts elsewhere too go, of every copy; emptied documents go with them.
+
+    Texts that were empty before stay, as nothing was taken from them.
+    """
     cut = suffixdedup.remove_repeats(docs, with_text=True, carry=("lang", "source"))
     whole = (F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes"))
     return _documents(cut.where(whole).withColumnRenamed("kept_text", "text"))
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every row appears as often as its rate, rounded by a seeded draw, says."""
+    """Every row appears as often as its rate, rounded by a seeded draw of its id, says; rows of one id are drawn alike."""
     rows = materialise(_documents(docs).withColumn("row", F.monotonically_increasing_id()), "pipeline-mix")
     rated = mixing.mix(rows, table(spark, sf_dir, "labels"), MIX_FACTORS, relative=True).where("copies > 0")
     times = rated.select(F.col("row").alias("_row"), "copies")
@@ -69,7 +74,7 @@ def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens; one row a piece."""
+    """Sequences of at most 2048 tokens; one row a piece, an empty text being the piece of its end mark."""
     return bestfit.pack_documents(docs, 2048)
 
 
