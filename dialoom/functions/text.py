@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections.abc import Iterable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,35 +13,26 @@ from pyspark.sql import functions as F
 WHITE_SPACE = r"[\p{IsWhite_Space}\x{1c}-\x{1f}]"
 ZERO_WIDTH_SPACE = "\u200b"
 
-# Code points whose full case folding differs from their lower case.
-CASE_FOLDS = {
-    "ß": "ss",
-    "ŉ": "ʼn",
-    "ſ": "s",
-    "ǰ": "ǰ",
-    "ς": "σ",
-    "µ": "μ",
-    "ϐ": "β",
-    "ϑ": "θ",
-    "ϕ": "φ",
-    "ϖ": "π",
-    "ϰ": "κ",
-    "ϱ": "ρ",
-    "ϵ": "ε",
-    "ﬀ": "ff",
-    "ﬁ": "fi",
-    "ﬂ": "fl",
-    "ﬃ": "ffi",
-    "ﬄ": "ffl",
-    "ﬅ": "st",
-    "ﬆ": "st",
-}
-
 HANGUL_SYLLABLES = "가-힣"
 #: Text that normalisation form C could change: combining marks, conjoining jamo, singletons.
 MAYBE_NOT_NFC = r"[\p{M}\x{1100}-\x{11ff}\x{340}-\x{343}\x{374}\x{37e}\x{387}\x{1f71}-\x{1fff}\x{2000}-\x{2001}\x{2126}-\x{212b}\x{2329}-\x{232a}\x{2adc}\x{f900}-\x{fb4e}\x{1d15e}-\x{1d1c0}\x{2f800}-\x{2fa1d}]"
 
 
+@functools.cache
+def case_folds() -> dict[str, str]:
+    """Lower-case characters that full case folding changes further, such as ß, ς, ligatures and Cherokee."""
+    every = map(chr, (*range(0x80, 0xD800), *range(0xE000, 0x20000)))
+    return {c: c.casefold() for c in every if c.casefold() != c == c.lower()}
+
+
+def _ranges(letters: Iterable[str], gap: int = 64) -> str:
+    """A class of few ranges that holds the letters, and some others near them."""
+    codes = sorted(map(ord, letters))
+    starts = [codes[0], *(b for a, b in zip(codes, codes[1:], strict=False) if b - a > gap)]
+    ends = [*(a for a, b in zip(codes, codes[1:], strict=False) if b - a > gap), codes[-1]]
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends, strict=True)) + "]"
+
+
 def collapse(text: Column) -> Column:
     """Delete zero-width spaces, trim, and put one space for every run of white space."""
     bare = F.replace(text, F.lit(ZERO_WIDTH_SPACE), F.lit(""))
@@ -54,13 +46,16 @@ def strip(text: Column) -> Column:
 
 def casefold(text: Column) -> Column:
     """Lower case plus the folds that lower case lacks; JVM-side throughout."""
+    folds = {k: v for k, v in case_folds().items() if k != "ß"}
     low = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
-    single = {k: v for k, v in CASE_FOLDS.items() if len(v) == 1}
+    single = {k: v for k, v in folds.items() if len(v) == 1}
     out = F.translate(low, "".join(single), "".join(single.values()))
-    for k, v in CASE_FOLDS.items():
-        if len(v) > 1:
-            out = F.replace(out, F.lit(k), F.lit(v))
-    # all others lie outside Latin-1 but one: a cheap range spares most rows a pass for each letter
+    several = {k: v for k, v in folds.items() if len(v) > 1}
+    long = out
+    for k, v in several.items():
+        long = F.replace(long, F.lit(k), F.lit(v))
+    # all but µ lie beyond U+0148: cheap ranges spare most rows the translation, and a pass for each of the long ones
+    out = F.when(low.rlike(_ranges(several)), long).otherwise(out)
     return F.when(low.rlike(r"[\x{b5}\x{149}-\x{10ffff}]"), out).otherwise(low)
 
 

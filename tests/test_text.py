@@ -69,3 +69,12 @@ def test_reply_text(spark):
 
 def test_language_names(spark):
     assert values(spark, ["ko", "xx"], text.language_name) == ["한국어", "xx"]
+
+
+def test_case_folding_of_every_letter(spark):
+    """Of all code points that have a case in Python's Unicode; the JVM's may be younger and know more of them."""
+    every = [chr(k) for k in (*range(0x20, 0xD800), *range(0xE000, 0x1F000)) if unicodedata.normalize("NFC", chr(k)) == chr(k)]
+    df = spark.createDataFrame([(k, f"x{c}y") for k, c in enumerate(every)], "k int, t string").repartition(4)
+    rows = df.select("k", text.casefold(F.col("t")).alias("f")).collect()
+    cased = [(every[r["k"]], r["f"]) for r in rows if not every[r["k"]].casefold() == every[r["k"]] == every[r["k"]].lower()]
+    assert [c for c, f in cased if f != f"x{c}y".casefold()] == [] and len(cased) > 1400
