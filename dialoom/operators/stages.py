@@ -157,14 +157,33 @@ def bucket_targets(spark: SparkSession, ratios: Mapping[str, float], max_session
     return table.select("bucket", F.bround(F.col("ratio") * max_sessions).cast("long").alias("want"))
 
 
+def hash_places(df: DataFrame, by: list[str], seed: object, below: Column | None = None) -> DataFrame:
+    """``_place``: each row's rank from 0 in the seeded order of the ids, in each value of ``by`` or over all.
+
+    The rank comes from 4,096 hash buckets and a small table of their counts, so no task sorts a group. With ``below``
+    only rows whose place is under it are wanted: buckets that lie above go before anything is sorted.
+    """
+    df = df.withColumn("_hash", hash_order(seed, F.col("id"))).withColumn("_cut", F.substring("_hash", 1, 3))
+    counts = df.groupBy(*by, "_cut").agg(F.count("*").alias("_n"))
+    order = Window.partitionBy(*by).orderBy("_cut") if by else Window.orderBy("_cut")  # 4096 rows a group
+    names = {k: f"_of_{k}" for k in (*by, "_cut")}
+    before = counts.select(*(F.col(k).alias(v) for k, v in names.items()), (F.sum("_n").over(order) - F.col("_n")).alias("_before"))
+    same = F.lit(True)
+    for k, v in names.items():
+        same = same & F.col(k).eqNullSafe(F.col(v))
+    df = df.join(before, same)
+    if below is not None:
+        df = df.where(F.col("_before") < below)
+    inside = F.row_number().over(Window.partitionBy(*by, "_cut").orderBy("_hash", "_pos")) - 1
+    df = df.withColumn("_place", F.col("_before") + inside).drop("_hash", "_cut", "_before", *names.values())
+    return df if below is None else df.where(F.col("_place") < below)
+
+
 def draw(pool: DataFrame, ratios: Mapping[str, float], max_sessions: int, seed: object) -> DataFrame:
     """The wanted number of sessions from each bucket, in seeded hash order."""
     wants = {b: round(max_sessions * r) for b, r in ratios.items()}  # rounds half to even too
-    drawn = None
-    for bucket, want in wants.items():
-        part = top_by_hash(pool.where(F.col("bucket") == bucket), ["bucket"], want, seed, "id", "_pos")
-        drawn = part if drawn is None else drawn.unionByName(part)
-    return drawn
+    want = F.create_map(*(F.lit(x) for pair in wants.items() for x in pair))[F.col("bucket")]
+    return hash_places(pool.where(F.col("bucket").isin(*wants)), ["bucket"], seed, want).drop("_place")
 
 
 def shortfall(pool: DataFrame, targets: DataFrame) -> DataFrame:
@@ -175,19 +194,12 @@ def shortfall(pool: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def split_sessions(drawn: DataFrame, split: Mapping[str, float], seed: object) -> DataFrame:
-    """``split``: the first ``int(n * val)`` sessions in a seeded order, then the test part, the rest train.
-
-    The order's position comes from hash buckets and their counts, so no task sorts all sessions.
-    """
+    """``split``: the first ``int(n * val)`` sessions in a seeded order, then the test part, the rest train."""
     n = drawn.count()
     n_val, n_test = int(n * split["val"]), int(n * split["test"])
-    df = drawn.withColumn("_hash", hash_order(f"{seed}:split", F.col("id"))).withColumn("_cut", F.substring("_hash", 1, 3))
-    counts = df.groupBy("_cut").agg(F.count("*").alias("_n"))
-    before = counts.select(F.col("_cut").alias("_of"), (F.sum("_n").over(Window.orderBy("_cut")) - F.col("_n")).alias("_before"))  # 4096 rows at most
-    df = df.withColumn("_in", F.row_number().over(Window.partitionBy("_cut").orderBy("_hash", "_pos")) - 1).join(before, F.col("_cut") == F.col("_of"))
-    place = F.col("_before") + F.col("_in")
+    place = F.col("_place")
     name = F.when(place < n_val, "val").when(place < n_val + n_test, "test").otherwise("train")
-    return df.withColumn("split", name).drop("_hash", "_cut", "_of", "_before", "_in")
+    return hash_places(drawn, [], f"{seed}:split").withColumn("split", name).drop("_place")
 
 
 def selected_counts(sessions: DataFrame) -> DataFrame:

@@ -75,3 +75,17 @@ def test_draw_shortfall_split(spark):
     assert {r["split"]: r["count"] for r in split.groupBy("split").count().collect()} == {"train": 4, "val": 1, "test": 1}
     again = stages.split_sessions(stages.draw(pool, ratios, 8, 1), {"train": 0.5, "val": 0.25, "test": 0.25}, 1)
     assert sorted(split.select("id", "split").collect()) == sorted(again.select("id", "split").collect())
+
+
+def test_draw_equals_sorting_each_bucket(spark):
+    import hashlib
+
+    rows = [(f"d{k % 700}", "ab"[k % 3 == 0], k) for k in range(2000)]
+    pool = spark.createDataFrame(rows, "id string, bucket string, _pos long").union(spark.createDataFrame([("x", "other", 5000)], "id string, bucket string, _pos long"))
+    got = {(r["bucket"], r["_pos"]) for r in stages.draw(pool, {"a": 0.5, "b": 0.5}, 1000, 7).collect()}
+    want = set()
+    for bucket in "ab":
+        order = sorted((hashlib.sha256(f"7:{i}".encode()).hexdigest(), p) for i, b, p in rows if b == bucket)
+        want |= {(bucket, p) for _, p in order[:500]}
+    assert got == want
+    assert stages.draw(pool, {"a": 0.0, "c": 1.0}, 10, 7).count() == 0
