@@ -228,9 +228,11 @@ def mix(docs: DataFrame, labels: DataFrame, weights: tuple[float, ...] = TARGET_
     """``doc_id, row, tokens, domain, posterior, rate, copies`` of every row of ``docs`` (doc_id, row, text).
 
     ``weights`` are the domains' shares of the tokens or, if ``relative``, factors of their present shares.
-    ``copies`` is the rate rounded down or up by a seeded hash of the row, so that its expectation is the
-    rate. Null and empty texts have no tokens and get the rate of their posterior; repeated rows are rated
-    alike; with an empty table there is no row; with no usable label all domains are equally likely.
+    ``copies`` is the rate rounded down or up by a seeded hash of the id, so that its expectation is the
+    rate. Null and empty texts have no tokens and get the rate of their posterior; repeated rows and ties are
+    rated alike, and rows of one id, or of none, are rounded alike; with an empty table there is no row; with no
+    usable label all domains are equally likely. Texts of any length are read whole; columns other than the
+    three named are not read, so names that clash do no harm.
     """
     member = materialise(memberships(docs, fit(docs, labels)), "mix-members")
     dual, _, _ = solve_rates(member, weights, relative=relative)
@@ -246,6 +248,7 @@ def mix(docs: DataFrame, labels: DataFrame, weights: tuple[float, ...] = TARGET_
 
 
 def op8_soft_mixing(spark, sf_dir: str) -> DataFrame:
+    """``mix`` of ``documents`` to the targets above, a row a document; cases as stated there."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.lit(0).cast("long").alias("row"), "text")
     out = mix(docs, table(spark, sf_dir, "labels"))
     return out.select("doc_id", "tokens", "domain", *(F.col("posterior")[k].alias(f"p_{n}") for k, n in enumerate(DOMAINS)), "rate", "copies")
