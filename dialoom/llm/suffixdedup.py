@@ -138,16 +138,29 @@ def _anchor_rows(length: int, gram: int):
     return run
 
 
+def _each_once(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple[bytes, list]]]:
+    """The bytes and wanted places of each batch's documents; of repeated rows, which the join puts side by side, one."""
+    last = None
+    for batch in batches:
+        out = []
+        for doc, t, text, wanted in zip(batch.column("doc_id").to_pylist(), batch.column("t").to_pylist(), texts(batch), batch.column("wanted").to_pylist(), strict=True):
+            if (doc, t) != last:
+                out.append((_raw(text), wanted))
+            last = doc, t
+        yield out
+
+
 def _context_rows(length: int, gram: int):
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for text, wanted in zip(texts(batch), batch.column("wanted").to_pylist(), strict=True):
-            raw = _raw(text)
-            for w in wanted:
-                p = w["pos"]
-                left, right = raw[max(0, p - (length - gram)) : p], raw[p : p + length]
-                rows.append((w["h"], w["c"], w["n"], w["blocks"], w["c"] % w["blocks"], left, right))
-        return _columns(rows, CONTEXT)
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for documents in _each_once(batches):
+            rows = []
+            for raw, wanted in documents:
+                for w in wanted:
+                    p = w["pos"]
+                    left, right = raw[max(0, p - (length - gram)) : p], raw[p : p + length]
+                    rows.append((w["h"], w["c"], w["n"], w["blocks"], w["c"] % w["blocks"], left, right))
+            if rows:
+                yield _columns(rows, CONTEXT)
 
     return run
 
@@ -164,7 +177,7 @@ def _window_rows(length: int, gram: int):
 
         digest = xxhash.xxh3_64_intdigest
         schema = arrow_schema(WINDOW)
-        for batch in batches:
+        for documents in _each_once(batches):
             held: list[list] = [[], [], [], []]
 
             def rows(held=held) -> pa.RecordBatch:
@@ -172,8 +185,7 @@ def _window_rows(length: int, gram: int):
                 w = np.array(w, np.uint64).view(np.int64)
                 return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip((w, h, c, l), schema, strict=True)], schema=schema)
 
-            for text, wanted in zip(texts(batch), batch.column("wanted").to_pylist(), strict=True):
-                raw = _raw(text)
+            for raw, wanted in documents:
                 for x in wanted:
                     p = x["pos"]
                     starts = range(max(0, p - (length - gram)), min(p, len(raw) - length) + 1)
@@ -339,19 +351,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     several = materialise(several, "suffix-several")
 
     def texts_with(grams: DataFrame) -> DataFrame:
-        """``text, wanted``: one document for each context of these grams, with its places."""
+        """``doc_id, t, text, wanted``: one document for each context of these grams, with its places."""
         wanted = contexts.join(grams, F.col("h") == F.col("_h"))
         wanted = wanted.groupBy(F.col("one.doc_id").alias("_doc"), F.col("one.t").alias("_t")).agg(
             F.collect_list(F.struct(F.col("one.pos").alias("pos"), "h", "c", "n", "blocks")).alias("wanted")
         )  # a document's own anchors: as many as its bytes allow
         same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("t") == F.col("_t"))
         # texts are always dealt by id: broadcasts would do for small tables only
-        return docs.join(wanted.hint("merge"), same).select("text", "wanted")
+        return docs.join(wanted.hint("merge"), same).select("doc_id", "t", "text", "wanted")
 
-    cut = map_arrow(texts_with(several.where(F.col("blocks") <= MOST_BLOCKS)), _context_rows(length, gram), CONTEXT)
+    cut = texts_with(several.where(F.col("blocks") <= MOST_BLOCKS)).mapInArrow(_context_rows(length, gram), CONTEXT)
     cut = cut.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     cut = cut.select("h", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "c", "n", "left", "right")
-    # repeated rows of one document send the same context more than once
     matched = map_groups(cut, ["h", "lo", "hi"], _found_rows(length, gram), FOUND)
     frequent = several.where(F.col("blocks") > MOST_BLOCKS)
     windows = None

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dialoom.llm import suffixdedup
@@ -105,3 +106,17 @@ def test_whole_table(spark, block, most):
     finally:
         suffixdedup.BLOCK, suffixdedup.MOST_BLOCKS = before
     assert [tuple(got[d["doc_id"]][1:5]) for d in docs] == brute([d["text"] for d in docs], 200)
+
+
+def test_very_many_repeated_rows_send_their_contexts_once(spark):
+    rng = random.Random(3)
+    piece = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared = piece(60)
+    rows = [(1, piece(20) + shared + piece(20))] * 1500 + [(2, piece(20) + shared + piece(20)), (None, piece(20) + shared)] + [(None, "other " * 3)] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r["doc_id"] or 0, r["n_bytes"], r["n_removed"]) for r in suffixdedup.remove_repeats(df, length=40, gram=16).collect()))
+    want = sorted((d or 0, n, m) for (d, _), (n, m, _, _) in zip(rows, brute([t for _, t in rows], 40), strict=True))
+    assert got == want
+    batch = lambda docs: pa.RecordBatch.from_pylist([{"doc_id": d, "t": d, "text": t, "wanted": []} for d, t in docs])
+    once = list(suffixdedup._each_once([batch([(1, "a"), (1, "a"), (2, "b")]), batch([(2, "b"), (3, "c")])]))
+    assert [[raw for raw, _ in part] for part in once] == [[b"a", b"b"], [b"c"]]
