@@ -96,10 +96,10 @@ def stage_seed(seed: int, stage: str) -> int:
     return seed + sum(map(ord, stage))
 
 
-def numbered(df: DataFrame, name: str, by: list[str] | None = None, position: str = "_pos", block: int = 1 << 16) -> DataFrame:
-    """``name`` counts rows from 0 by ``position`` inside each value of ``by`` (or overall).
+def numbered(df: DataFrame, name: str, by: list[str] | None = None, position: str = "_pos", block: int = 1 << 16, then: tuple[str, ...] = ()) -> DataFrame:
+    """``name`` counts rows from 0 by ``position``, and ``then`` by other columns, inside each value of ``by`` (or overall).
 
-    Positions are unique longs or the structs of source texts. Windows only number the rows of one block, a range
+    Positions are longs, unique together with ``then``, or the structs of source texts. Windows only number the rows of one block, a range
     of longs or what one scan task read of a source; a small table of block counts gives the offsets, so neither
     a large group nor the whole input meets in one task.
     """
@@ -113,7 +113,7 @@ def numbered(df: DataFrame, name: str, by: list[str] | None = None, position: st
     counts = df.groupBy(*keys, "_block").agg(F.count("*").alias("_n"))
     order = Window.partitionBy(*keys).orderBy("_block") if keys else Window.orderBy("_block")  # a row a block
     before = counts.select(*(F.col(k).alias(f"_of_{k}") for k in keys), F.col("_block").alias("_of_block"), (F.sum("_n").over(order) - F.col("_n")).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(position)) - 1
+    inside = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(position, *then)) - 1
     same = F.col("_block") == F.col("_of_block")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
@@ -232,17 +232,15 @@ _turn_rule("gate_emoji_documents", rules.RULES["이모지"]("", "금지"), _if(r
 _turn_rule("gate_ellipsis", rules.RULES["말줄임표"]("", "최대 1개"), _if("length(t) - length(replace(t, '…', '')) > 1", "multiple_ellipsis"), more=("well… then… so", "well…", "……"))
 _turn_rule("gate_role_label_documents", rules.RULES["역할 표기"]("", "금지"), _if(r"regexp_matches(t, '(?i)(^|\s)(U|A|P|사용자|유저|user|assistant|pet)\s*[:：]')", "role_label_in_text"), "documents", ("U: hello", "he said assistant : yes", "menu", "친구 유저：응"))
 _turn_rule("gate_ai_claim_documents", rules.RULES["AI 자칭"]("", "금지"), _if(r"regexp_matches(t, 'AI|A\.I\.|인공지능|언어모델|언어 모델|챗봇|챗 봇|프로그램|컴퓨터|모델이야|시스템 프롬프트|학습 데이터|토큰')", "claims_to_be_ai"), "documents")
-# back-references have no DuckDB form: words next to each other, and every chunk with the one behind it
-_turn_rule(
-    "gate_repeat",
-    rules.RULES["반복"]("", "금지"),
-    _if(
-        "len(list_filter(range(1, len(string_split(t, ' '))), lambda i: string_split(t, ' ')[i] = string_split(t, ' ')[i + 1] AND length(string_split(t, ' ')[i]) >= 2)) > 0 OR "
-        "len(list_filter(range(3, length(t) // 2 + 1), lambda n: len(list_filter(range(1, length(t) - 2 * n + 2), lambda i: substr(t, i, n) = substr(t, i + n, n))) > 0)) > 0",
-        "repeated_phrase",
-    ),
-    more=("so so it is", "놀자놀자놀자", "hahaha hahaha", "abcabc", "abab", "one two", "a a b"),
-)
+# back-references have no DuckDB form: words next to each other, and chunks found by where their first three letters come again
+_REPEAT_MORE = ("so so it is", "놀자놀자놀자", "hahaha hahaha", "abcabc", "abab", "one two", "a a b")
+_turn_rule("gate_repeat", rules.RULES["반복"]("", "금지"), "", more=_REPEAT_MORE)
+ORACLE_SQL["gate_repeat"] = f"""WITH {_SAID}, every AS (SELECT conv_id, turn::BIGINT AS turn, t FROM said UNION ALL SELECT * FROM (VALUES {", ".join(f"({-1 - k}, 0, '{x}')" for k, x in enumerate(_REPEAT_MORE))})),
+words AS (SELECT conv_id, turn, string_split(t, ' ') AS w FROM every),
+said_twice AS (SELECT conv_id, turn FROM words WHERE len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1] AND length(w[i]) >= 2)) > 0),
+tri AS (SELECT conv_id, turn, t, i, substr(t, i, 3) AS g FROM every, unnest(range(1, length(t) - 1)) u(i)),
+doubled AS (SELECT a.conv_id, a.turn FROM tri a JOIN tri b ON a.conv_id = b.conv_id AND a.turn = b.turn AND a.g = b.g AND b.i >= a.i + 3 WHERE substr(a.t, a.i, b.i - a.i) = substr(a.t, b.i, b.i - a.i))
+SELECT DISTINCT conv_id, turn, 'repeated_phrase' AS reasons FROM (SELECT * FROM said_twice UNION ALL SELECT * FROM doubled)"""
 
 
 @query(
@@ -268,7 +266,7 @@ def gate_structure(spark, sf_dir):
     return sessions(spark, sf_dir).select("id", F.array_join(gate.gate(F.col("turns"), {}, min_turns=4, max_turns=6), ",").alias("reasons"))
 
 
-# -- rules for Korean over literals -------------------------------------------------
+# -- rules for Korean over literals and the documents --------------------------------
 
 _KOREAN = [
     "안녕하세요", "응, 나도 좋아", "배고파. 밥 줘", "그렇습니다.", "네.", "재밌네", "같이 가요", "놀자놀자놀자", "정말 정말 좋아",
@@ -293,7 +291,8 @@ _KOREAN_TESTS = {
 for _name, (_key, _value, _sql) in _KOREAN_TESTS.items():
 
     def _run(spark, sf_dir, key=_key, value=_value):
-        df = spark.createDataFrame(list(enumerate(_KOREAN)), "k int, t string")
+        df = spark.createDataFrame([(-1 - k, x) for k, x in enumerate(_KOREAN)], "k long, t string")
+        df = df.unionByName(_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("k"), text.collapse(F.col("text")).alias("t")))
         turns = F.array(F.struct(F.lit("assistant").alias("role"), F.col("t").alias("text")))
         tests = rules.RULES[key]("초롱", value)
         hit = F.lit(False)
@@ -301,7 +300,7 @@ for _name, (_key, _value, _sql) in _KOREAN_TESTS.items():
             hit = hit | test(turns)
         return df.select("k", hit.alias("hit"))
 
-    query(_name, f"SELECT k::INTEGER AS k, {_sql} AS hit FROM {_values(_KOREAN)}")(_run)
+    query(_name, f"WITH v AS (SELECT -1 - k::BIGINT AS k, t FROM {_values(_KOREAN)} UNION ALL SELECT doc_id, {_collapse('text')} FROM documents) SELECT k, {_sql} AS hit FROM v")(_run)
 
 
 # -- utterances ---------------------------------------------------------------------
@@ -525,8 +524,8 @@ _LINES = "WITH ranked AS (SELECT doc_id, row_number() OVER (PARTITION BY text OR
 @query("overuse_running_count", f"{_LINES} SELECT doc_id AS pos, 1::INTEGER AS turn, r::INTEGER AS occurrence FROM ranked")
 def overuse_running_count(spark, sf_dir):
     lines = stages.assistant_lines(_document_sessions(spark, sf_dir))
-    order = Window.partitionBy("text").orderBy("_pos", "_turn")
-    return lines.select(F.col("_pos").alias("pos"), F.col("_turn").alias("turn"), F.row_number().over(order).alias("occurrence"))
+    counted = ledger.numbered(lines, "_n", ["text"], then=("_turn",))
+    return counted.select(F.col("_pos").alias("pos"), F.col("_turn").alias("turn"), (F.col("_n") + 1).cast("int").alias("occurrence"))
 
 
 @query("overuse_session_drop", f"{_LINES} SELECT doc_id AS pos FROM ranked WHERE r > 2")
@@ -723,6 +722,41 @@ def reply_text_values(spark, sf_dir):
     return spark.createDataFrame(list(enumerate(_REPLIES)), "k int, raw string").select("k", text.reply_text(F.col("raw")).alias("reply"))
 
 
+_LABEL = "(?i)^\\s*(U|A|P|사용자|유저|user|assistant|pet)\\s*[:：]\\s*"
+_BARE = "regexp_replace(regexp_replace({x}, '^\"+|\"+$', '', 'g'), '^''+|''+$', '', 'g')"
+
+
+@query(
+    "reply_text_documents",
+    f"""WITH l AS (SELECT doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x, ' ' || chr(9) || chr(13))), lambda x: x <> '')[1] AS line FROM documents)
+SELECT doc_id, coalesce(trim({_BARE.format(x=f"trim(regexp_replace(line, '{_LABEL}', ''))")}), '') AS reply FROM l""",
+)
+def reply_text_documents(spark, sf_dir):
+    """Whole documents taken for a teacher's answers."""
+    return _table(spark, sf_dir, "documents").select("doc_id", text.reply_text(F.col("text")).alias("reply"))
+
+
+_TAGGED = f"""lines AS (SELECT conv_id, turn, role, {_BARE.format(x="trim(string_split(text, chr(10))[1])")} AS t FROM conversations WHERE role <> 'system'),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM (SELECT *, CASE WHEN lag(role) OVER (PARTITION BY conv_id ORDER BY turn) = role THEN 0 ELSE 1 END AS new FROM lines)),
+merged AS (SELECT conv_id, run, any_value(role) AS role, string_agg(t, ' ' ORDER BY turn) AS t FROM runs GROUP BY 1, 2),
+ends AS (SELECT *, min(run) FILTER (role = 'user') OVER (PARTITION BY conv_id) AS first, max(run) FILTER (role <> 'user') OVER (PARTITION BY conv_id) AS last FROM merged),
+kept AS (SELECT conv_id, string_agg(CASE WHEN role = 'user' THEN 'U: ' ELSE 'A: ' END || t, chr(10) ORDER BY run) AS d, count(*) AS n FROM ends WHERE run BETWEEN first AND last GROUP BY 1),
+bad AS (SELECT DISTINCT conv_id FROM lines WHERE t = '')"""
+
+
+@query(
+    "dialogue_parse_conversations",
+    f"WITH {_TAGGED} SELECT c.conv_id, CASE WHEN k.n >= 2 AND b.conv_id IS NULL THEN k.d ELSE '' END AS dialogue FROM (SELECT DISTINCT conv_id FROM lines) c LEFT JOIN kept k ON k.conv_id = c.conv_id LEFT JOIN bad b ON b.conv_id = c.conv_id",
+)
+def dialogue_parse_conversations(spark, sf_dir):
+    """Conversations written as a teacher writes them, read and repaired."""
+    rows = _table(spark, sf_dir, "conversations").where("role <> 'system'")
+    line = F.concat(F.when(F.col("role") == "user", "U: ").otherwise("A: "), F.col("text"))
+    said = rows.withColumn("line", line).groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "line"))).alias("x"))
+    raw = F.array_join(F.transform("x", lambda r: r["line"]), "\n")
+    return said.select("conv_id", text.render_dialogue(text.repair_dialogue(text.parse_dialogue(raw))).alias("dialogue"))
+
+
 @query(
     "respond_join_provenance",
     f"""WITH n AS (SELECT doc_id, source, {_collapse("text")} AS t FROM documents)
