@@ -114,3 +114,21 @@ def test_a_failed_publication_keeps_the_old_table(spark, tmp_path):
     sinks.write_table(df.union(df), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_json_files_of_different_shapes(spark, tmp_path):
+    (tmp_path / "many").mkdir()
+    for name, value in (("b.json", {"n": [], "rows": [{"t": "never"}]}), ("a.json", [{"t": "one"}, {"t": "two"}, {"u": 1}]), ("c.json", {"meta": {"x": 1}, "rows": [{"t": "three"}]})):
+        (tmp_path / "many" / name).write_text(json.dumps(value), encoding="utf-8")
+    rows = formats.read(spark, "json", str(tmp_path / "many"), ["t"])
+    assert got(spark, tmp_path / "many", "json", ["t"]) == ["one", "two", "three"]  # the first array of b is empty
+    assert rows.select("_row").distinct().count() == rows.count() == 4
+    (tmp_path / "none.json").write_text('{"a": 1}', encoding="utf-8")
+    with pytest.raises(formats.SourceError):
+        formats.read(spark, "json", str(tmp_path / "none.json"), ["t"])
+
+
+def test_numbers_are_no_texts(spark, tmp_path):
+    spark.createDataFrame([("a", 5, 1.5)], "s string, n int, x double").write.parquet(str(tmp_path / "p"))
+    assert got(spark, tmp_path / "p", "parquet", ["n", "s", "x"]) == ["a"]
+    assert got(spark, tmp_path / "p", "parquet", ["n"]) == []
